@@ -10,6 +10,8 @@ from clinloom.session import ensure_checkpoint_dir
 # monotonically_increasing_id keeps the row's position within its partition in
 # the low 33 bits (documented layout).
 _POSITION_BITS = 33
+# Partitions are sized by rows, so a small batch does not leave many tiny files.
+_ROWS_PER_PARTITION = 250_000
 
 
 def assign_surrogate_key(
@@ -35,7 +37,7 @@ def assign_surrogate_key(
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     source = df if stable else df.checkpoint()
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or 1 + source.count() // _ROWS_PER_PARTITION
     placed = (
         source.withColumn("_at", F.monotonically_increasing_id())
         .repartitionByRange(n, *order, "_at")
