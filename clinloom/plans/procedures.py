@@ -273,8 +273,8 @@ def import_csv(wh: Warehouse, path: str, table: str, rename: Mapping[str, str] |
     ))
     fresh = complete
     if spec.unique:
-        # One text for a key of several columns; the separator cannot occur in one.
-        key = "_key"
+        # One text for a key of several columns.
+        key = "_natural_key"
         keyed = complete.withColumn(key, F.to_json(F.array(*spec.unique)))
         known = wh.read(table).withColumn(key, F.to_json(F.array(*spec.unique)))
         kept = wh.stage(load_new(keyed, known, key, dedupe="key"), f"{table}-new")

@@ -7,7 +7,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clinloom.functions.scalars import is_json_document
 from clinloom.operators.documents import FAILED, IMPORTED, checksum
@@ -78,22 +77,24 @@ def read_csv(
     # Reads one line only: the header gives the names, nothing is inferred.
     header = spark.read.option("header", True).csv(path).columns
     broken = "_broken_line"
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, broken]])
+    fields = ", ".join(f"`{c}` STRING" for c in [*header, broken])
+    parsed = F.from_csv("value", F.lit(fields), {"columnNameOfCorruptRecord": broken})
     lines = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", broken)
-        .csv(path)
+        spark.read.text(path)
+        .filter(F.trim("value") != "")
+        .select(parsed.alias("line"))
+        .select("line.*")
+        # Every file of a folder brings the header line.
+        .filter(~F.array(*[F.col(f"`{c}`") for c in header]).eqNullSafe(F.array(*map(F.lit, header))))
     )
     by_name = {rename.get(c, c).lower(): c for c in header}
     target = [f for f in TABLES[table].schema if f.name.lower() in by_name]
     text = lines.select(
         *[F.col(f"`{by_name[f.name.lower()]}`").alias(f.name) for f in target], broken
     )
-    good = text.filter(F.col(broken).isNull())
-    rows = good.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in target])
-    stage = f"FAILED WHILE READING CSV {table}"
+    rows = text.filter(F.col(broken).isNull()).select(
+        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in target]
+    )
     unread = F.array_compact(F.array(*[
         F.when(
             F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(),
@@ -101,10 +102,6 @@ def read_csv(
         )
         for f in target
     ]))
-    errors = error_rows(
-        text.filter(F.col(broken).isNotNull()), stage, BAD_CONVERSION,
-        F.concat(F.lit("malformed line: "), F.col(broken)),
-    ).unionByName(
-        error_rows(good.select(F.explode(unread).alias("m")), stage, BAD_CONVERSION, F.col("m"))
-    )
-    return rows, errors
+    malformed = F.array(F.concat(F.lit("malformed line: "), F.col(broken)))
+    messages = text.select(F.explode(F.when(F.col(broken).isNotNull(), malformed).otherwise(unread)).alias("m"))
+    return rows, error_rows(messages, f"FAILED WHILE READING CSV {table}", BAD_CONVERSION, F.col("m"))
