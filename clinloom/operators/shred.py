@@ -89,19 +89,18 @@ def explode_entries(docs: DataFrame, *types: str, json: str = "json") -> DataFra
             "fullUrl", "resource"
         ),
     )
-    resource = F.col("resource")
-    peek = F.get_json_object(resource, "$.resourceType")
     if types:
         # A plain substring test settles most entries before any JSON is read.
         named = F.lit(False)
         for t in types:
-            named = named | resource.contains(f'"{t}"')
-        entries = entries.filter(named & peek.isin(*types))
-    return entries.select(
-        *keep,
-        json_scalar("fullUrl").alias("fullUrl"),
-        json_scalar(peek).alias("resourceType"),
-        resource,
+            named = named | F.col("resource").contains(f'"{t}"')
+        entries = entries.filter(named)
+    peeked = entries.withColumn("_type", F.get_json_object("resource", "$.resourceType"))
+    if types:
+        peeked = peeked.filter(F.col("_type").isin(*types))
+    kind = json_scalar("_type") if not types else F.lit(types[0]) if len(types) == 1 else F.col("_type")
+    return peeked.select(
+        *keep, json_scalar("fullUrl").alias("fullUrl"), kind.alias("resourceType"), "resource"
     )
 
 

@@ -16,6 +16,17 @@ from clinloom.sources.tables import TABLES
 _WHOLE = {"wholetext": "true"}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give rows that come from few files to all cores.
+
+    A file of one row group is read by one task, and the work on its rows (JSON
+    above all) would stay there. With at least as many files as cores nothing is
+    moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """Paths of all files below ``path``; the contents are not read."""
     return spark.read.format("binaryFile").load(path).select(

@@ -9,19 +9,20 @@ from clinloom.operators.shred import (
     explode_entries, items, leaf, node, obj, rows, shape, tabulate, texts,
 )
 from clinloom.operators.typed import typed
+from clinloom.sources.files import spread
 from clinloom.workload import bundles
 from clinloom.workload.bundles import arr, first_n, order_lines, st
 from clinloom.workload.registry import Tables, as_doubles, query
 
 
 def _json(df: DataFrame, key: str, json: str) -> DataFrame:
-    return df.selectExpr(f"{key} AS id", f"to_json({json}) AS resource")
+    return spread(df).selectExpr(f"{key} AS id", f"to_json({json}) AS resource")
 
 
 @query("q_shred_props", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
 def shred_props(t: Tables):
-    df = tabulate(t.events.select("event_id", "props"), shape(leaf("k")), text="props")
+    df = tabulate(spread(t.events.select("event_id", "props")), shape(leaf("k")), text="props")
     return typed(df, {"k": "int"})
 
 
@@ -59,7 +60,7 @@ def shred_object_or_array(t: Tables):
     a = f"CASE l_returnflag WHEN 'A' THEN concat('\"a\":', {one}, ',') WHEN 'R' THEN concat('\"a\":', {two}, ',') ELSE '' END"
     w = "named_struct('w', l_linestatus)"
     o = f"CASE l_linestatus WHEN 'F' THEN to_json(array({w}, {w})) ELSE to_json({w}) END"
-    df = t.lineitem.selectExpr("l_orderkey AS id", f"concat('{{', {a}, '\"o\":', {o}, '}}') AS resource")
+    df = spread(t.lineitem).selectExpr("l_orderkey AS id", f"concat('{{', {a}, '\"o\":', {o}, '}}') AS resource")
     df = tabulate(df, shape(rows("a", leaf("v")), node("o", leaf("w"))), "a")
     return df.select("id", F.col("a_v").try_cast("bigint").alias("a_v"), "o_w")
 
@@ -129,7 +130,7 @@ def shred_typed_scalars(t: Tables):
             "bad": "concat('\"', l_returnflag, '\"')",
         }.items()
     )
-    df = t.lineitem.selectExpr("l_orderkey AS id", f"concat('{{', {body}, '}}') AS resource")
+    df = spread(t.lineitem).selectExpr("l_orderkey AS id", f"concat('{{', {body}, '}}') AS resource")
     kinds = {"n": "int", "q": "double", "m": "money", "b": "boolean", "d": "date", "ts": "timestamp", "bad": "int"}
     return as_doubles(typed(tabulate(df, shape(leaf(*kinds))), kinds), "m")
 
@@ -142,7 +143,7 @@ def shred_lax_scalars(t: Tables):
     """A scalar asked of an object or array is NULL; a path through a non-object too."""
     s = "CASE l_returnflag WHEN 'A' THEN concat('\"[', l_linestatus, '\"') WHEN 'R' THEN '[1,2]' ELSE '{\"z\":1}' END"
     p = "CASE l_returnflag WHEN 'N' THEN to_json(named_struct('x', l_linestatus)) WHEN 'R' THEN '[{\"x\":1}]' ELSE '\"x\"' END"
-    df = t.lineitem.selectExpr("l_orderkey AS id", f"concat('{{\"s\":', {s}, ',\"p\":', {p}, '}}') AS resource")
+    df = spread(t.lineitem).selectExpr("l_orderkey AS id", f"concat('{{\"s\":', {s}, ',\"p\":', {p}, '}}') AS resource")
     return tabulate(df, shape(leaf("s"), obj("p", leaf("x"))))
 
 
