@@ -53,15 +53,21 @@ def load_new(
 
     ``dedupe``: ``none`` keeps repeated rows, ``rows`` removes exact copies,
     ``key`` keeps the first row of each key. A row without a key counts as new.
+
+    Duplicates go first: each task drops its own before anything is shuffled on
+    the key, so copies of a hot row never meet in one place. The anti join is
+    then the last step, where adaptive execution may split a hot key.
     """
-    fresh = work.join(known_keys(work, target, key, target_key), key, "left_anti").select(*work.columns)
+    known = known_keys(work, target, key, target_key)
     if dedupe == "rows":
-        return fresh.dropDuplicates()
-    if dedupe == "key":
-        return first_per_key(fresh, key)
-    if dedupe != "none":
+        batch = work.dropDuplicates()
+    elif dedupe == "key":
+        batch = first_per_key(work, key)
+    elif dedupe == "none":
+        batch = work
+    else:
         raise ValueError(f"unknown dedupe mode: {dedupe}")
-    return fresh
+    return batch.join(known, key, "left_anti").select(*work.columns)
 
 
 def import_log_rows(

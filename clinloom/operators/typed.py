@@ -49,7 +49,8 @@ def cast_rejects(df: DataFrame, casts: Mapping[str, str], stage: str, key: str)
         )
     )
     bad = df.select(F.col(key).alias("key"), F.explode(failures).alias("f"))
-    message = F.format_string(
-        "%s: %s does not convert to %s: %s", "key", "f.column", "f.kind", "f.text"
+    message = F.concat(
+        F.coalesce("key", F.lit("NULL")), F.lit(": "), "f.column",
+        F.lit(" does not convert to "), "f.kind", F.lit(": "), "f.text",
     )
     return error_rows(bad, stage, BAD_CONVERSION, message)

@@ -230,13 +230,20 @@ def cohort_hospitalization_summary(
     """Cost per patient, hospital, date and class; names are grouped uncleaned.
 
     Every claim row meets every matching condition row of its encounter. Only
-    the sum is wanted, so both sides are first reduced to one row per encounter
-    (a cost and a number of matches) and the product of the two is summed.
+    the sum is wanted, so nothing is multiplied out: matching conditions are
+    counted per code, then per encounter, costs are summed per encounter, and
+    the products of the two are summed.
     """
+    per_code = (
+        conditions.filter(F.col("description").ilike(pattern))
+        .groupBy(F.col("code").alias("condition_code"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     matches = (
-        cohort_encounters(encounter_conditions, conditions, pattern)
+        encounter_conditions.select("encounter_ID", "condition_code")
+        .join(per_code, "condition_code")
         .groupBy("encounter_ID")
-        .agg(F.count(F.lit(1)).alias("n_matches"))
+        .agg(F.sum("n").alias("n_matches"))
     )
     costs = (
         claims.groupBy(F.col("encounterId").alias("encounter_ID"))

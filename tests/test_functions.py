@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clinloom.functions import scalars
 from clinloom.functions.sql import register_functions
 from clinloom.operators import documents, quality
+from clinloom.plans.checks import check_table
 from clinloom.sources.tables import TABLES
 
 
@@ -97,3 +98,16 @@ def test_table_definitions(spark):
     ]
     assert dict(claim.schema.simpleString() and [(f.name, f.dataType.simpleString()) for f in claim.schema])["claimStatus"] == "string"
     assert len(TABLES) == 15
+
+
+def test_table_report(spark):
+    rows = [("a", None, "x"), ("a", dt.date(2000, 1, 1), "y"), ("b", dt.date(2000, 1, 1), "z" * 60)]
+    df = spark.createDataFrame(rows, "ID string, DOB date, firstname string").selectExpr(
+        "*", *[f"CAST('t' AS STRING) AS {f.name}" for f in TABLES["dim_patient"].schema
+               if f.name not in ("ID", "DOB", "firstname", "DOD", "created_dt")]
+    )
+    assert rows_of(check_table(df, "dim_patient")) == [
+        ("length", '["b"]', "firstname has 60 of 50"),
+        ("not null", '["a"]', "DOB"),
+        ("unique", '["a"]', "2 rows"),
+    ]

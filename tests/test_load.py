@@ -179,3 +179,15 @@ def test_surrogate_key_with_a_hot_key(spark, stable):
     assert [g[0] for g in got] == list(range(100, 3100))
     assert [g[1] for g in got] == sorted(g[1] for g in got)
     assert out.filter("k = 500").selectExpr("spark_partition_id() AS p").distinct().count() > 1
+
+
+def test_load_with_a_hot_key(spark):
+    """One key holds a third of the rows, half of them copies."""
+    work = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id) END AS k", "id % 2 AS v"
+    )
+    target = spark.createDataFrame([("k1",)], "k string")
+    assert load_new(work, target, "k").count() == 2999
+    assert load_new(work, target, "k", dedupe="rows").count() == 2001
+    assert rows_of(load_new(work, target, "k", dedupe="key").filter("k = 'hot'")) == [("hot", 0)]
+    assert load_new(work, spark.createDataFrame([("hot",)], "k string"), "k").count() == 2000
