@@ -97,6 +97,14 @@ def json_scalar(value: Column | str) -> Column:
     return F.when(subtree, None).otherwise(text)
 
 
+def plain_number(value: Column | str) -> Column:
+    """Number text without an exponent: the JSON parser writes 1.5E7 for 15000000.0."""
+    text = as_column(value)
+    digits = text.try_cast("decimal(38,12)").cast("string")
+    plain = F.rtrim(F.rtrim(digits, F.lit("0")), F.lit("."))
+    return F.when(text.rlike("^-?[0-9.]+E-?[0-9]+$"), F.coalesce(plain, text)).otherwise(text)
+
+
 def is_json_document(value: Column | str) -> Column:
     """True for text that is one JSON object or array, False otherwise."""
     text = as_column(value)

@@ -37,8 +37,8 @@ def day_slice(df: DataFrame, column: str, day: dt.date | None = None) -> DataFra
     Written as a range on the column itself, so it reaches the file scan.
     """
     day = day or dt.date.today()
-    first = dt.datetime.combine(day, dt.time())
-    low, high = F.lit(first).cast("timestamp_ntz"), F.lit(first + dt.timedelta(days=1)).cast("timestamp_ntz")
+    # Written as text: a Python datetime would pass through the session's zone.
+    low, high = (F.lit(d.isoformat()).cast("timestamp_ntz") for d in (day, day + dt.timedelta(days=1)))
     return df.filter((F.col(column) >= low) & (F.col(column) < high))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from clinloom.functions.scalars import plain_number
 from clinloom.operators.resources.columns import named, own_id, stripped
 from clinloom.operators.shred import (
     coding, items, leaf, node, obj, of_type, rows, shape, tabulate,
@@ -93,7 +94,7 @@ def benefit_rows(entries: DataFrame) -> DataFrame:
             locationCodeableConceptCode="item_locationCodeableConcept_coding_code",
             locationCodeableConceptName="item_locationCodeableConcept_coding_display",
             ExplanationOfBenefitCurrency="total_amount_currency",
-            ExplanationOfBenefitTotalAmount="total_amount_value",
+            ExplanationOfBenefitTotalAmount=plain_number("total_amount_value"),
             totalCategoryCode="total_category_coding_code",
             totalCategoryName="total_category_coding_display",
             paymentAmountValue="payment_amount_value",

@@ -31,6 +31,9 @@ from clinloom.sources.files import as_documents, list_files, read_csv, read_file
 from clinloom.sources.tables import TABLES
 from clinloom.sources.warehouse import Warehouse
 
+# File names a broadcast may carry (some hundred bytes each).
+_BROADCAST_NAMES = 500_000
+
 # --- files -> documents -> entries ---------------------------------------------
 
 
@@ -38,7 +41,7 @@ def import_json_files(wh: Warehouse, path: str, run_ts: dt.datetime | None = Non
     """Import the files below ``path``; status per file.
 
     Files the log holds already are known by their full path. They are found by
-    the list of names; only the texts of new files go on. Valid and rejected
+    the list of names; only the texts of new files are kept. Valid and rejected
     documents are written in one pass, into separate partitions.
     """
     run_ts = run_ts or dt.datetime.now()
@@ -51,19 +54,36 @@ def import_json_files(wh: Warehouse, path: str, run_ts: dt.datetime | None = Non
         ),
         "files",
     )
-    new = listed.filter(F.col("_known").isNull()).select("file_path")
-    files = read_files(wh.spark, path).join(new, "file_path", "left_semi")
-    written = import_documents(wh, files, run_ts)
+    written = import_documents(wh, _new_files(read_files(wh.spark, path), listed), run_ts)
     return (
         listed.join(written.select("file_path", F.col("status").alias("_status")), "file_path", "left")
         .select("file_path", F.when(F.col("_known"), ALREADY_THERE).otherwise(F.col("_status")).alias("status"))
     )
 
 
-def import_documents(wh: Warehouse, files: DataFrame, run_ts: dt.datetime) -> DataFrame:
+def _new_files(files: DataFrame, listed: DataFrame) -> DataFrame:
+    """Texts of the files not known yet, without moving texts between machines.
+
+    The shorter list of names, the new or the known ones, decides; it is
+    broadcast while it is short enough and joined the usual way beyond that.
+    """
+    known = listed.filter("_known").select("file_path")
+    new = listed.filter("_known IS NULL").select("file_path")
+    n_known, n_new = known.count(), new.count()
+    if n_known == 0:
+        return files
+    names, how = (new, "left_semi") if n_new < n_known else (known, "left_anti")
+    if min(n_known, n_new) <= _BROADCAST_NAMES:
+        names = F.broadcast(names)
+    return files.join(names, "file_path", how)
+
+
+def import_documents(
+    wh: Warehouse, files: DataFrame, run_ts: dt.datetime, batch: str | None = None
+) -> DataFrame:
     """Append texts to the document log and log the rejected; path and status."""
     first_id = (wh.read("JSONLogs").agg(F.max("doc_id")).first()[0] or 0) + 1
-    wh.append("JSONLogs", as_documents(files, run_ts, first_id))
+    wh.append("JSONLogs", as_documents(files, run_ts, first_id, batch))
     batch = wh.read("JSONLogs").filter(
         (F.col("import_date") == F.lit(run_ts.date())) & (F.col("doc_id") >= first_id)
     ).select("file_path", "status")

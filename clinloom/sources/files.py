@@ -55,13 +55,16 @@ def describe_files(texts: DataFrame) -> DataFrame:
     )
 
 
-def as_documents(files: DataFrame, run_ts: dt.datetime, first_id: int) -> DataFrame:
+def as_documents(
+    files: DataFrame, run_ts: dt.datetime, first_id: int, batch: str | None = None
+) -> DataFrame:
     """Rows of the document log, valid and rejected ones told apart by status.
 
     Ids are unique and ascending with gaps: they come from the row's place in
     the scan, so giving them moves no document between machines.
     """
-    stamp = F.lit(run_ts).cast("timestamp_ntz")
+    # Written as text: a Python datetime would pass through the session's zone.
+    stamp = F.lit(run_ts.isoformat()).cast("timestamp_ntz")
     return files.select(
         (F.lit(first_id) + F.monotonically_increasing_id()).alias("doc_id"),
         "json",
@@ -69,6 +72,7 @@ def as_documents(files: DataFrame, run_ts: dt.datetime, first_id: int) -> DataFr
         "file_name",
         stamp.alias("import_ts"),
         checksum("json").alias("checksum"),
+        F.lit(batch).cast("string").alias("batch"),
         F.when(is_json_document("json"), IMPORTED).otherwise(FAILED).alias("status"),
         F.to_date(stamp).alias("import_date"),
     )

@@ -149,7 +149,7 @@ TABLES = {
     # kept apart in its own partition.
     "JSONLogs": Table(
         """doc_id BIGINT NOT NULL, json STRING, file_path STRING, file_name VARCHAR(150),
-        import_ts TIMESTAMP_NTZ, checksum STRING, status INT, import_date DATE""",
+        import_ts TIMESTAMP_NTZ, checksum STRING, batch STRING, status INT, import_date DATE""",
         partition_by=("status", "import_date"), rebalance=False,
     ),
     # The documents' entries, parsed once; each extractor reads its own partition.

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clinloom.operators.documents import not_imported
 from clinloom.plans.procedures import import_documents
 from clinloom.sources.files import stream_files
 from clinloom.sources.warehouse import Warehouse
@@ -14,20 +16,25 @@ from clinloom.sources.warehouse import Warehouse
 
 def ingest_available(
     wh: Warehouse, path: str, checkpoint: str, run_ts: dt.datetime | None = None,
-    max_files: int | None = None,
+    max_files: int | None = None, recheck: bool = False,
 ) -> StreamingQuery:
     """Import what has arrived in ``path`` since the last call, then stop.
 
     The checkpoint must lie on storage all machines share. ``max_files`` bounds
-    one batch, so a large backlog is worked off in steps. A batch that ran
-    before its checkpoint was kept comes again: files the log holds already are
-    left out by their path.
+    one batch, so a large backlog is worked off in steps. Each batch leaves its
+    mark in the log: one that was written but not yet checkpointed when the job
+    died comes again and is passed over. ``recheck`` compares every file with
+    the log by path; it is for a new checkpoint beside an older log.
     """
 
-    def load_batch(files: DataFrame, _: int) -> None:
-        known = wh.read("JSONLogs").select("file_path")
-        fresh = files.join(known, "file_path", "left_anti").select(*files.columns)
-        import_documents(wh, fresh, run_ts or dt.datetime.now())
+    def load_batch(files: DataFrame, number: int) -> None:
+        log = wh.read("JSONLogs")
+        mark = f"{checkpoint}#{number}"
+        if log.filter(F.col("batch") == mark).limit(1).count():
+            return
+        if recheck:
+            files = not_imported(files, log)
+        import_documents(wh, files, run_ts or dt.datetime.now(), mark)
 
     return (
         stream_files(wh.spark, path, max_files)

@@ -81,8 +81,14 @@ def test_streaming_ingest_takes_each_file_once(wh, tmp_path):
     (inbox / "c.json").write_text(body)
     ingest_available(wh, str(inbox), checkpoint, NOW, max_files=1).awaitTermination()
     assert wh.read("JSONLogs").count() == 3
+    # a batch whose commit was lost comes again and is passed over
+    last = max(int(p.name) for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink()
+    ingest_available(wh, str(inbox), checkpoint, NOW).awaitTermination()
+    assert wh.read("JSONLogs").count() == 3
     # a lost checkpoint: all files come again, the log keeps them out
-    ingest_available(wh, str(inbox), str(tmp_path / "checkpoint2"), NOW).awaitTermination()
+    ingest_available(wh, str(inbox), str(tmp_path / "checkpoint2"), NOW, recheck=True).awaitTermination()
     assert wh.read("JSONLogs").count() == 3
     assert wh.read("JSONLogs").select("doc_id").distinct().count() == 3
     jobs.split_documents(wh, NOW.date())
