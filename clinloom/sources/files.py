@@ -24,7 +24,9 @@ def spread(df: DataFrame) -> DataFrame:
     moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    # Counted in the JVM: a list of millions of names has no business in Python.
+    n_files = len(df._jdf.inputFiles())
+    return df.repartition(cores) if n_files < cores else df
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:

@@ -158,6 +158,8 @@ TABLES = {
         resourceType STRING""",
         partition_by=("import_date", "resourceType"),
     ),
+    # Forerunner of the document log: texts only.
+    "JSONDOCUMENTS": Table("ID BIGINT NOT NULL, JSONDOCUMENT STRING NOT NULL", identity=("ID", 10)),
     "JSONImportLog": Table(
         "ID BIGINT NOT NULL, JSONLogsId BIGINT NOT NULL, ResourceType VARCHAR(50), ExportDate TIMESTAMP_NTZ",
         identity=("ID", 100), unique=("JSONLogsId",),

@@ -37,10 +37,12 @@ class Warehouse:
     def recreate(self, name: str) -> None:
         """Drop the rows of a table and leave it empty."""
         table = TABLES[name]
+        empty = self.spark.createDataFrame([], table.schema)
         # Partitioned or not, the whole folder is replaced by one without rows.
-        self.spark.createDataFrame([], table.schema).write.option(
-            "partitionOverwriteMode", "static"
-        ).mode("overwrite").parquet(self.path(name))
+        writer = empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if table.partition_by:
+            writer = writer.partitionBy(*table.partition_by)
+        writer.parquet(self.path(name))
 
     def recreate_all(self) -> None:
         for name in TABLES:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from clinloom.operators import resources
-from clinloom.workload import bundles
+from clinloom.operators.load import load_new
+from clinloom.plans.marts import claims_overview
+from clinloom.workload import bundles, star
 from clinloom.workload.registry import Tables, as_doubles, query
 
 
@@ -236,3 +238,26 @@ SELECT {_text('s_suppkey')} AS UID, 'Practitioner' AS resourceType, 'Dr.' AS pre
 FROM supplier, {_SUPPLIER_PHONE}""")
 def person(t: Tables):
     return resources.extract_person(bundles.people(t))
+
+
+@query("q_claims_overview_from_documents", """
+WITH work AS (
+  SELECT DISTINCT o_orderkey, o_orderstatus, l_orderkey, l_linenumber, l_returnflag, l_suppkey, o_orderpriority,
+         CASE WHEN l_linestatus = 'F' THEN l_partkey END AS prescription, i.n, l_extendedprice, o_custkey,
+         CAST(o_orderdate AS DATE) AS first_day, CAST(l_shipdate AS DATE) AS last_day
+  FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey,
+       unnest(CASE o_orderstatus WHEN 'O' THEN [1, 2] WHEN 'F' THEN [1] ELSE [NULL] END) AS i(n)
+  WHERE o_orderpriority <> '1-URGENT')
+SELECT o_orderstatus AS claimStatus, 'claim' AS claimUse, COUNT(*) AS claimCount,
+       CAST(SUM(CAST(l_extendedprice AS DECIMAL(19,4))) AS DOUBLE) AS totalClaimAmount,
+       MIN(first_day) AS earliestClaimDate, MAX(last_day) AS latestClaimDate
+FROM work GROUP BY o_orderstatus""")
+def claims_overview_from_documents(t: Tables):
+    """From documents to the mart: extract, drop copies and known claims, report.
+
+    Claims of urgent orders are in the table already.
+    """
+    known = star.claims_of_orders(t).filter("claimUse = '1-URGENT'")
+    work = resources.extract_claim(bundles.claims(t), repeats=False)
+    fresh = load_new(work, known, "claimId", dedupe="rows")
+    return as_doubles(claims_overview(fresh).drop("averageClaimAmount"), "totalClaimAmount")

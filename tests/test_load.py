@@ -128,6 +128,17 @@ def test_failing_job_reports(wh):
     ]
 
 
+def test_recreate_all_then_import(wh, inbox):
+    wh.recreate_all()
+    write_bundle(inbox, "a.json", CLAIM)
+    assert statuses(jobs.import_json_files(wh, str(inbox), NOW)) == {"a.json": 1}
+    assert jobs.split_documents(wh, DAY).count() == 1
+    # splitting a day again replaces its partitions
+    assert jobs.split_documents(wh, DAY).count() == 1
+    wh.recreate("JSONLogs")
+    assert wh.read("JSONLogs").count() == 0
+
+
 def test_recreate(wh, spark):
     wh.append("dim_payer", spark.createDataFrame([("x", "P")], "ID string, name string"))
     assert wh.read("dim_payer").filter("created_dt IS NOT NULL").count() == 1
