@@ -112,11 +112,16 @@ def is_json_document(value: Column | str) -> Column:
     return F.coalesce(opens & F.try_parse_json(text).isNotNull(), F.lit(False))
 
 
+def _whole_number(text: Column) -> Column:
+    # A failing cast raises and catches an exception per row; the pattern does not.
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast("int"))
+
+
 # Names used in cast lists -> expression applied to the text column.
 _CASTS = {
     "date": local_date,
     "timestamp": local_timestamp,
-    "int": lambda c: c.try_cast("int"),
+    "int": _whole_number,
     "boolean": lambda c: c.try_cast("boolean"),
     "double": lambda c: c.try_cast("double"),
     "money": lambda c: c.try_cast(MONEY),

@@ -46,6 +46,13 @@ def test_plain_number(spark, text, plain):
     assert value(spark, scalars.plain_number(F.lit(text).cast("string"))) == plain
 
 
+@pytest.mark.parametrize("text, number", [
+    ("12", 12), (" -3 ", -3), ("+7", 7), ("12.0", None), ("x1", None), ("", None), ("99999999999", None), (None, None),
+])
+def test_whole_numbers(spark, text, number):
+    assert value(spark, scalars.cast_text(F.lit(text).cast("string"), "int")) == number
+
+
 def test_age_counts_year_changes(spark):
     born = F.lit(dt.date(2000, 12, 31))
     assert value(spark, scalars.age_years(born, dt.date(2024, 1, 1))) == 24
