@@ -66,7 +66,10 @@ def first_per_key(df: DataFrame, key: str) -> DataFrame:
     """
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     keyed = df.filter(F.col(key).isNotNull())
-    firsts = keyed.groupBy(F.col(key).alias("_key")).agg(F.min(row).alias("_row")).select("_row.*")
+    # The key column itself is kept, so Spark still knows the rows lie by key.
+    firsts = keyed.groupBy(key).agg(F.min(row).alias("_row")).select(
+        *[key if c == key else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
+    )
     return firsts.unionByName(df.filter(F.col(key).isNull()))
 
 
