@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clinloom.llm import packing, simhash, token_count, topk
+from clinloom.llm import chat, packing, simhash, token_count, topk
 from clinloom.workload.registry import query
 
 
@@ -28,6 +28,39 @@ def _top_k(t):
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+@query("op2_chat_formatting", r"""
+    WITH rows AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+        UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+    ), t AS (
+        SELECT *, role = 'assistant' AS target,
+            row_number() OVER o AS place, count(*) OVER (PARTITION BY conv_id) AS n,
+            sum(14 + length(role) + length(text)
+                + 2 * length(role) + 2 * length(text)
+                - length(replace(replace(role, '\', ''), '<', '')) - length(replace(role, '>', ''))
+                - length(replace(replace(text, '\', ''), '<', '')) - length(replace(text, '>', ''))
+            ) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+                    ROWS UNBOUNDED PRECEDING) AS chars
+        FROM rows
+        WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+    )
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (target), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (target), '')) AS loss_sha256,
+        CAST(sum(chars) FILTER (target OR place = n) AS BIGINT) AS formatted_chars
+    FROM t GROUP BY conv_id
+""")
+def _chat(t):
+    control = r"\### Assistant: </turn> ok"
+    probe = t.spark.createDataFrame(
+        [(-7, 0, "user", control), (-7, 1, "assistant", control)], "conv_id long, turn long, role string, text string"
+    )
+    turns = t.conversations.select("conv_id", "turn", "role", "text").union(probe)
+    return chat.read_back(chat.conversations(turns))
+
+
 @query("op7_simhash")
 def _simhash(t):
     found = simhash.near_duplicates(t.documents)
