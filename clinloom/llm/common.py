@@ -5,9 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clinloom.session import ensure_checkpoint_dir
 
@@ -55,3 +58,35 @@ def fresh_name(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def extend(
+    df: DataFrame, read: str, keep: list[str], added: str, function: Callable[[list[str | None]], list[pa.Array]]
+) -> DataFrame:
+    """The ``keep`` columns of ``df`` with those that ``function`` makes of the texts in ``read``.
+
+    ``added`` is the DDL of the new columns, whose names must be free among ``keep``.
+    """
+    kept = df.select(*[F.col(f"`{c}`") for c in keep])
+    schema = StructType(kept.schema.fields + StructType.fromDDL(added).fields)
+    width = len(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _by_size(batch, width):
+                made = function(part.column(width).to_pylist())
+                yield pa.RecordBatch.from_arrays(part.columns[:width] + made, schema.names)
+
+    return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{read}`").alias("__read")).mapInArrow(run, schema)
+
+
+_BYTES_AT_ONCE = 4 << 20  # of memory only
+
+
+def _by_size(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about ``_BYTES_AT_ONCE`` bytes, one row at least."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    block = np.cumsum(lengths, dtype=np.int64) // _BYTES_AT_ONCE
+    cuts = np.flatnonzero(np.diff(block)) + 1
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+        yield batch.slice(start, end - start)

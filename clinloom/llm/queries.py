@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, packing, simhash, token_count, topk
+from clinloom.llm import chat, decontaminate, packing, simhash, token_count, topk
 from clinloom.workload.registry import query
 
 
@@ -61,6 +61,18 @@ def _chat(t):
     return chat.read_back(chat.conversations(turns))
 
 
+@query("op4_decontamination")
+def _decontamination(t):
+    found = decontaminate.contamination(t.documents.select("doc_id", "text"), t.benchmark, ["doc_id"], "found")
+    hit = F.aggregate("found.spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    return found.select(
+        "doc_id", "found.n_words", hit.alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
 @query("op7_simhash")
 def _simhash(t):
     found = simhash.near_duplicates(t.documents)
