@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, decontaminate, packing, simhash, token_count, topk
+from clinloom.llm import chat, decontaminate, language, packing, simhash, token_count, topk
 from clinloom.workload.registry import query
 
 
@@ -73,6 +73,18 @@ def _decontamination(t):
     )
 
 
+@query("op6_language_id")
+def _language_id(t):
+    documents = t.documents.select("doc_id", "text", "lang")
+    model = language.learn(language.training_rows(documents))
+    return language.identified(documents, model, ["doc_id"], "found").select(
+        "doc_id",
+        F.expr("coalesce(pmod(crc32(cast(doc_id as string)), 4) = 2, false)").alias("held_out"),
+        F.col("found.lang").alias("lang_pred"),
+        "found.score",
+    )
+
+
 @query("op7_simhash")
 def _simhash(t):
     found = simhash.near_duplicates(t.documents)
