@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, decontaminate, language, packing, simhash, token_count, topk
+from clinloom.llm import chat, decontaminate, language, packing, pii, simhash, token_count, topk
 from clinloom.workload.registry import query
 
 
@@ -91,6 +91,11 @@ def _simhash(t):
     return found.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op8_pii")
+def _pii(t):
+    return pii.replaced(t.documents.select("doc_id", "text"), key="clinloom", count="n_entities")
+
+
 @query("op9_packing")
 def _packing(t):
     encoder = packing.byte_bpe(
