@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, decontaminate, language, packing, pii, simhash, token_count, topk
+from clinloom.llm import chat, decontaminate, language, lm_score, packing, pii, simhash, token_count, topk
 from clinloom.workload.registry import query
 
 
@@ -73,6 +73,13 @@ def _decontamination(t):
     )
 
 
+@query("op5_lm_score")
+def _lm_score(t):
+    documents = t.documents.select("doc_id", "text")
+    wanted = t.labels.where("quality = 1 and toxic = 0").select("doc_id")
+    return lm_score.scored(documents, documents.join(wanted, "doc_id", "left_semi"), documents, ["doc_id"])
+
+
 @query("op6_language_id")
 def _language_id(t):
     documents = t.documents.select("doc_id", "text", "lang")
