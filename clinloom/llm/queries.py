@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, decontaminate, language, lm_score, packing, pii, simhash, token_count, topk
+from clinloom.llm import chat, decontaminate, language, lm_score, packing, pii, repeats, simhash, token_count, topk
 from clinloom.workload.registry import query
 
 
@@ -61,6 +61,13 @@ def _chat(t):
     return chat.read_back(chat.conversations(turns))
 
 
+@query("op3_suffix_dedup")
+def _suffix_dedup(t):
+    return repeats.without_repeats(t.documents.select("doc_id", "text")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query("op4_decontamination")
 def _decontamination(t):
     found = decontaminate.contamination(t.documents.select("doc_id", "text"), t.benchmark, ["doc_id"], "found")
