@@ -66,9 +66,10 @@ def _pack(block: int, scale: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     return run
 
 
-def _scores(query_data: bytes, data: bytes, width: int) -> np.ndarray:
-    q = np.frombuffer(query_data, np.int64).reshape(-1, width)
-    v = np.frombuffer(data, np.int64).reshape(-1, width)
+def _scores(row: dict, query_ids: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    width = row["width"]
+    q = np.frombuffer(row["q_data"], np.int64).reshape(query_ids.size, width)
+    v = np.frombuffer(row["data"], np.int64).reshape(ids.size, width)
     reach = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * max(width, 1)
     if reach < _EXACT:  # whole numbers in doubles are exact, and far faster
         return (q.astype(np.float64) @ v.T.astype(np.float64)).astype(np.int64)
@@ -91,7 +92,7 @@ def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
             query_ids, ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
             low, high, step = (np.frombuffer(row[c], np.int64) for c in ("low", "high", "step"))
-            scores = _scores(row["q_data"], row["data"], row["width"])
+            scores = _scores(row, query_ids, ids)
             inside = (scores >= low[:, None]) & (scores < high[:, None])
             inside[_own(query_ids, ids)] = False
             q, v = np.nonzero(inside)
@@ -111,7 +112,7 @@ def _candidates(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
         for batch in batches:
             for row in batch.to_pylist():
                 query_ids, ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
-                scores = _scores(row["q_data"], row["data"], row["width"])
+                scores = _scores(row, query_ids, ids)
                 keep = scores >= np.frombuffer(row["low"], np.int64)[:, None]
                 keep[_own(query_ids, ids)] = False
                 q, v = np.nonzero(keep)
@@ -200,7 +201,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, scale: int = SCALE) ->
             .groupBy("q_block", "slot").agg(F.collect_list(F.struct("above", "n", "bin")).alias("bins"))
         )
         # The bin in which the count from the top reaches what is needed; without
-        # one there are fewer candidates than k, and all of them count.
+        # one there are fewer candidates than k: all of them count, and nothing is left to narrow.
         following = state.join(reached, ["q_block", "slot"], "left").select(
             "q_block", "slot", "low", "high", "step", "need",
             F.expr("array_min(filter(bins, b -> b.above >= need))").alias("hit"),
@@ -209,7 +210,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, scale: int = SCALE) ->
             following.select(
                 "q_block", "slot",
                 F.expr("if(hit is null, low, low + hit.bin * step)").alias("low"),
-                F.expr("if(hit is null, high, least(high, low + (hit.bin + 1) * step))").alias("high"),
+                F.expr("if(hit is null, low, least(high, low + (hit.bin + 1) * step))").alias("high"),
                 F.expr(f"if(hit is null, 1, (step - 1) div {BINS} + 1)").alias("step"),
                 F.expr("if(hit is null, need, need - (hit.above - hit.n))").alias("need"),
             )
