@@ -86,30 +86,19 @@ def local_timestamp(value: Column | str) -> Column:
     return as_column(value).try_cast("timestamp_ntz")
 
 
-def json_scalar(value: Column | str) -> Column:
-    """NULL where a scalar was asked for but the JSON holds an object or array.
+def is_json_document(value: Column | str) -> Column:
+    """True for text that is one JSON object or array, False otherwise.
 
-    A STRING field of ``from_json`` returns the JSON text of such a subtree;
-    only texts that open like one are tested.
+    The whole text is read, whatever its size: inside brackets it must be one
+    element, and as the value of a field it must parse to the end.
     """
     text = as_column(value)
-    subtree = F.substring(text, 1, 1).isin("{", "[") & F.try_parse_json(text).isNotNull()
-    return F.when(subtree, None).otherwise(text)
-
-
-def plain_number(value: Column | str) -> Column:
-    """Number text without an exponent: the JSON parser writes 1.5E7 for 15000000.0."""
-    text = as_column(value)
-    digits = text.try_cast("decimal(38,12)").cast("string")
-    plain = F.rtrim(F.rtrim(digits, F.lit("0")), F.lit("."))
-    return F.when(text.rlike("^-?[0-9.]+E-?[0-9]+$"), F.coalesce(plain, text)).otherwise(text)
-
-
-def is_json_document(value: Column | str) -> Column:
-    """True for text that is one JSON object or array, False otherwise."""
-    text = as_column(value)
     opens = F.substring(F.ltrim(text, F.lit(" \t\r\n")), 1, 1).isin("{", "[")
-    return F.coalesce(opens & F.try_parse_json(text).isNotNull(), F.lit(False))
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "ARRAY<STRING>")
+    held = F.from_json(
+        F.concat(F.lit('{"d":'), text, F.lit("}")), "d STRING, _c STRING", {"columnNameOfCorruptRecord": "_c"}
+    )
+    return F.coalesce(opens & (F.size(listed) == 1) & held["_c"].isNull() & held["d"].isNotNull(), F.lit(False))
 
 
 def _whole_number(text: Column) -> Column:

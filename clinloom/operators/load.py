@@ -48,17 +48,22 @@ def load_new(
     key: str,
     target_key: str | None = None,
     dedupe: str = "none",
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the batch whose key the target does not hold yet.
 
     ``dedupe``: ``none`` keeps repeated rows, ``rows`` removes exact copies,
     ``key`` keeps the first row of each key. A row without a key counts as new.
+    ``known`` holds the result of ``known_keys``, which pays where the batch is
+    staged; without it the target's keys are compared as they are, so that a batch
+    still to be computed is computed once.
 
     Duplicates go first: each task drops its own before anything is shuffled on
     the key, so copies of a hot row never meet in one place. The anti join is
     then the last step, where adaptive execution may split a hot key.
     """
-    known = known_keys(work, target, key, target_key)
+    if known is None:
+        known = target.select(F.col(target_key or key).alias(key))
     if dedupe == "rows":
         batch = work.dropDuplicates()
     elif dedupe == "key":

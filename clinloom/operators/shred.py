@@ -18,8 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clinloom.functions.scalars import json_scalar
-
 _TEXT = T.StringType()
 # Field the JSON parser fills with the text when a node did not fit the schema.
 _MISFIT = "_misfit"
@@ -31,7 +29,7 @@ ENTRY = "fullUrl STRING, resource STRING"
 
 
 def leaf(*names: str) -> list[T.StructField]:
-    """Scalar fields, kept as text until they are cast."""
+    """Scalar fields, read as VARIANT (exact, and of a known kind), kept as text until they are cast."""
     return [T.StructField(n, _TEXT) for n in names]
 
 
@@ -82,12 +80,20 @@ def explode_entries(docs: DataFrame, *types: str, json: str = "json") -> DataFra
     kept; without, a document that has no entries gives one row of NULLs.
     """
     keep = [c for c in docs.columns if c != json]
-    bundle = F.from_json(json, f"entry ARRAY<STRUCT<{ENTRY}>>")
-    entries = docs.select(*keep, json, bundle["entry"].alias("_usual")).select(
+    # As VARIANT a resource keeps its numbers digit by digit; it can't hold
+    # repeated keys, so documents with such are read as text.
+    exact = F.from_json(
+        json, f"entry ARRAY<STRUCT<fullUrl: VARIANT, resource: VARIANT>>, {_MISFIT} STRING",
+        {"columnNameOfCorruptRecord": _MISFIT},
+    )
+    kept = F.expr(
+        f"CASE WHEN _exact.{_MISFIT} IS NULL THEN transform(_exact.entry,"
+        f" e -> named_struct('fullUrl', {_scalar('e.fullUrl')}, 'resource', to_json(e.resource))) END"
+    )
+    usual = F.from_json(json, f"entry ARRAY<STRUCT<{ENTRY}>>")["entry"]
+    entries = docs.select(*keep, json, exact.alias("_exact")).select(
         *keep,
-        F.inline_outer(F.coalesce("_usual", _unusual_entries(F.col(json)))).alias(
-            "fullUrl", "resource"
-        ),
+        F.inline_outer(F.coalesce(kept, usual, _unusual_entries(F.col(json)))).alias("fullUrl", "resource"),
     )
     if types:
         # A plain substring test settles most entries before any JSON is read.
@@ -95,13 +101,11 @@ def explode_entries(docs: DataFrame, *types: str, json: str = "json") -> DataFra
         for t in types:
             named = named | F.col("resource").contains(f'"{t}"')
         entries = entries.filter(named)
-    peeked = entries.withColumn("_type", F.get_json_object("resource", "$.resourceType"))
+    peeked = entries.withColumn("_type", F.expr(_scalar("from_json(resource, 'resourceType VARIANT').resourceType")))
     if types:
         peeked = peeked.filter(F.col("_type").isin(*types))
-    kind = json_scalar("_type") if not types else F.lit(types[0]) if len(types) == 1 else F.col("_type")
-    return peeked.select(
-        *keep, json_scalar("fullUrl").alias("fullUrl"), kind.alias("resourceType"), "resource"
-    )
+    kind = F.lit(types[0]) if len(types) == 1 else F.col("_type")
+    return peeked.select(*keep, "fullUrl", kind.alias("resourceType"), "resource")
 
 
 def _unusual_entries(text: Column) -> Column:
@@ -128,7 +132,6 @@ def tabulate(df: DataFrame, schema: T.StructType, *levels: str, text: str = "res
     levels multiply each other.
     """
     keep = [c for c in df.columns if c != text]
-    flagged = T.StructType([*schema.fields, T.StructField(_MISFIT, _TEXT)])
     typed = ", ".join(f"'{n}', _parsed.`{n}`" for n in schema.names)
     variants = (
         f"CASE WHEN _parsed.{_MISFIT} IS NULL THEN array(named_struct({typed}))"
@@ -136,7 +139,7 @@ def tabulate(df: DataFrame, schema: T.StructType, *levels: str, text: str = "res
     )
     parsed = df.selectExpr(
         *map(_quoted, df.columns),
-        f"from_json(`{text}`, '{_fields(flagged)}',"
+        f"from_json(`{text}`, '{_fields(schema)}, `{_MISFIT}` STRING',"
         f" map('columnNameOfCorruptRecord', '{_MISFIT}')) AS _parsed",
     )
     out, open_now = _unfold(parsed, keep, variants, schema, "")
@@ -172,11 +175,19 @@ def _flatten(field: T.StructField, ref: str, name: str, columns: list, levels: d
         for f in kind:
             _flatten(f, f"{ref}.`{f.name}`", f"{name}_{f.name}", columns, levels)
     else:
-        # A scalar asked of an object or array is NULL, not its JSON text.
-        columns.append(
-            f"CASE WHEN substring({ref}, 1, 1) IN ('{{', '[') AND try_parse_json({ref}) IS NOT NULL"
-            f" THEN NULL ELSE {ref} END AS `{name}`"
-        )
+        columns.append(f"{_scalar(ref)} AS `{name}`")
+
+
+def _scalar(ref: str) -> str:
+    """Text of a VARIANT leaf; NULL, not its JSON, where it is an object or array.
+
+    Only texts that open like one are asked for their kind.
+    """
+    text = f"CAST({ref} AS STRING)"
+    return (
+        f"CASE WHEN substring({text}, 1, 1) IN ('{{', '[') AND schema_of_variant({ref}) <> 'STRING'"
+        f" THEN NULL ELSE {text} END"
+    )
 
 
 # --- resources with unusual nodes -----------------------------------------------
@@ -187,7 +198,7 @@ def _flatten(field: T.StructField, ref: str, name: str, columns: list, levels: d
 def _objects(text: str, schema: T.StructType, depth: int = 0) -> str:
     """Read a level from its text: an object is one element, an array many."""
     e, raw = f"e{depth}", f"r{depth}"
-    strings = ", ".join(f"`{n}` STRING" for n in schema.names)
+    strings = ", ".join(f"`{f.name}` {'VARIANT' if f.dataType == _TEXT else 'STRING'}" for f in schema)
     elements = (
         f"CASE WHEN startswith({text}, '{{') THEN array({text})"
         f" WHEN startswith({text}, '[') THEN from_json({text}, 'ARRAY<STRING>') END"
@@ -222,7 +233,7 @@ def _single(text: str, field: T.StructField, depth: int) -> str:
     if isinstance(kind, T.StructType):
         return f"CASE WHEN startswith({text}, '{{') THEN get({_objects(text, kind, depth)}, 0) END"
     if isinstance(kind.elementType, T.StringType):
-        return f"CASE WHEN startswith({text}, '[') THEN from_json({text}, 'ARRAY<STRING>') END"
+        return f"CASE WHEN startswith({text}, '[') THEN from_json({text}, 'ARRAY<VARIANT>') END"
     found = _objects(text, kind.elementType, depth)
     if field.metadata.get("level"):
         return found
@@ -242,4 +253,4 @@ def _type(kind: T.DataType) -> str:
         return f"STRUCT<{_fields(kind, ':')}>"
     if isinstance(kind, T.ArrayType):
         return f"ARRAY<{_type(kind.elementType)}>"
-    return "STRING"
+    return "VARIANT"

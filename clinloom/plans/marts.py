@@ -107,19 +107,28 @@ def claims_with_encounters(claims: DataFrame, encounters: DataFrame) -> DataFram
 # --- cohort ------------------------------------------------------------------
 
 
-def cohort_encounters(
-    encounter_conditions: DataFrame, conditions: DataFrame, pattern: str = DIABETES
-) -> DataFrame:
-    """One row per encounter condition and matching condition row.
+_COPIES = "_copies"
+
+
+def _counted_cohort(encounter_conditions: DataFrame, conditions: DataFrame, pattern: str) -> DataFrame:
+    """Encounter conditions with the matching condition rows, equal ones as one row with their number.
 
-    A condition code is not unique among the conditions: each match counts.
+    A condition code is not unique among the conditions: each match counts. Joins then move each row once; ``_repeated`` gives the copies in the last step.
     """
-    matching = conditions.filter(F.col("description").ilike(pattern)).select("code", "description")
+    counted = (
+        conditions.filter(F.col("description").ilike(pattern))
+        .groupBy("code", "description").agg(F.count(F.lit(1)).alias(_COPIES))
+    )
     return encounter_conditions.select("encounter_ID", "condition_code").join(
-        matching, F.col("condition_code") == F.col("code")
+        counted, F.col("condition_code") == F.col("code")
     )
 
 
+def _repeated(rows: DataFrame) -> DataFrame:
+    columns = [c for c in rows.columns if c != _COPIES]
+    return rows.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_COPIES)))).select(*columns)
+
+
 def cohort_claims_overview(
     claims: DataFrame,
     encounters: DataFrame,
@@ -130,7 +139,7 @@ def cohort_claims_overview(
     conditions: DataFrame,
     pattern: str = DIABETES,
 ) -> DataFrame:
-    cohort = cohort_encounters(encounter_conditions, conditions, pattern)
+    cohort = _counted_cohort(encounter_conditions, conditions, pattern)
     prescribed = medications.select(
         strip_urn("encounterID").alias("encounter_ID"), "medicationCode", "medicationName"
     )
@@ -144,19 +153,20 @@ def cohort_claims_overview(
     people = patients.select(
         F.col("ID").alias("claimPatientId"), full_name("firstname", "lastname").alias("patientName")
     )
-    return (
-        # The wide fan-out (claims x medications of an encounter) comes last.
-        cohort.join(encounters.select("encounter_ID", "organizationID"), "encounter_ID")
-        .join(billed, "encounter_ID")
+    # Names join what they belong to while it is narrow; the wide fan-out (claims x
+    # medications of an encounter) comes last, and copies after it.
+    visits = encounters.select("encounter_ID", "organizationID").join(hospitals, "organizationID")
+    return _repeated(
+        cohort.join(visits, "encounter_ID")
+        .join(billed.join(people, "claimPatientId"), "encounter_ID")
         .join(prescribed, "encounter_ID")
-        .join(hospitals, "organizationID")
-        .join(people, "claimPatientId")
         .select(
             "claimId", "claimStatus", "claimCreated", _TOTAL, "patientName", "hospitalName",
             "medicationCode",
             F.col("medicationName").alias("MedicationName"),
             F.col("condition_code").alias("diagnosisCode"),
             F.col("description").alias("diagnosisDescription"),
+            _COPIES,
         )
     )
 
@@ -179,11 +189,11 @@ def cohort_demographics(
         "race",
         "ethnicity",
     )
-    return (
-        cohort_encounters(encounter_conditions, conditions, pattern)
+    return _repeated(
+        _counted_cohort(encounter_conditions, conditions, pattern)
         .join(encounters.select("encounter_ID", F.col("patientID").alias("patient_Id")), "encounter_ID")
         .join(people, "patient_Id")
-        .select(*people.columns, "code", "description")
+        .select(*people.columns, "code", "description", _COPIES)
     )
 
 
@@ -209,12 +219,12 @@ def cohort_visits(
     providers = organizations.select(
         F.col("ID").alias("organizationID"), F.col("name").alias("providerName")
     )
-    return (
-        cohort_encounters(encounter_conditions, conditions, pattern)
+    return _repeated(
+        _counted_cohort(encounter_conditions, conditions, pattern)
         .join(visits, "encounter_ID")
         .join(providers, "organizationID")
         .join(people, "patientId")
-        .select("patientId", "patientName", "encounter_ID", "encounterDate", "encounterType", "providerName")
+        .select("patientId", "patientName", "encounter_ID", "encounterDate", "encounterType", "providerName", _COPIES)
     )
 
 

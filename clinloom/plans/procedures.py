@@ -31,9 +31,6 @@ from clinloom.sources.files import as_documents, list_files, read_csv, read_file
 from clinloom.sources.tables import TABLES
 from clinloom.sources.warehouse import Warehouse
 
-# File names a broadcast may carry (some hundred bytes each).
-_BROADCAST_NAMES = 500_000
-
 # --- files -> documents -> entries ---------------------------------------------
 
 
@@ -62,20 +59,12 @@ def import_json_files(wh: Warehouse, path: str, run_ts: dt.datetime | None = Non
 
 
 def _new_files(files: DataFrame, listed: DataFrame) -> DataFrame:
-    """Texts of the files not known yet, without moving texts between machines.
+    """Texts of the files not known yet.
 
-    The shorter list of names, the new or the known ones, decides; it is
-    broadcast while it is short enough and joined the usual way beyond that.
+    The names are read back from a staged table, so Spark knows their size when it
+    plans the join and moves texts only if the list is too long to send around.
     """
-    known = listed.filter("_known").select("file_path")
-    new = listed.filter("_known IS NULL").select("file_path")
-    n_known, n_new = known.count(), new.count()
-    if n_known == 0:
-        return files
-    names, how = (new, "left_semi") if n_new < n_known else (known, "left_anti")
-    if min(n_known, n_new) <= _BROADCAST_NAMES:
-        names = F.broadcast(names)
-    return files.join(names, "file_path", how)
+    return files.join(listed.filter("_known IS NULL").select("file_path"), "file_path", "left_semi")
 
 
 def import_documents(
@@ -178,7 +167,7 @@ def load_resource(wh: Warehouse, name: str, run_date: dt.date | None = None) ->
     try:
         return _load(wh, spec, day_entries(wh, run_date))
     except Exception as error:  # any failure of the job belongs in the error log
-        message = wh.spark.range(1).select(F.lit(str(error)[:4000]).alias("m"))
+        message = wh.spark.range(1).select(F.lit(str(error)).alias("m"))
         wh.append("import_error_logs", error_rows(message, spec.stage, JOB_FAILED, F.col("m")))
         return LoadReport(spec.target, n_errors=1, status=1)
 
@@ -193,7 +182,8 @@ def _load(wh: Warehouse, spec: Load, entries: DataFrame) -> LoadReport:
     key = spec.target_key or spec.key
     target = wh.read(spec.target)
     complete = without_nulls(work, table.required)
-    fresh = wh.stage(load_new(complete, target, key, dedupe=spec.dedupe), f"{spec.target}-new")
+    known = known_keys(complete, target, key)
+    fresh = wh.stage(load_new(complete, target, key, dedupe=spec.dedupe, known=known), f"{spec.target}-new")
 
     errors = cast_rejects(text, spec.casts, spec.stage, spec.key) if spec.casts else None
     incomplete = null_rejects(work, table.required)
@@ -211,7 +201,7 @@ def _load(wh: Warehouse, spec: Load, entries: DataFrame) -> LoadReport:
             extra, spec.stage, DUPLICATE_KEY, F.concat(F.lit("more than one row for key "), F.col(key))
         ))
 
-    counts = duplicate_count(complete, known_keys(complete, target, key), key).first()
+    counts = duplicate_count(complete, known, key).first()
     n_errors = _log_errors(wh, errors)
     # The log comes before the data: if the job dies in between, the next run
     # still inserts the rows. The other way round it would find their keys

@@ -13,20 +13,7 @@ from clinloom.operators.documents import FAILED, IMPORTED, checksum
 from clinloom.operators.typed import BAD_CONVERSION, error_rows
 from clinloom.sources.tables import TABLES
 
-_WHOLE = {"wholetext": "true"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give rows that come from few files to all cores.
-
-    A file of one row group is read by one task, and the work on its rows (JSON
-    above all) would stay there. With at least as many files as cores nothing is
-    moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # Counted in the JVM: a list of millions of names has no business in Python.
-    n_files = len(df._jdf.inputFiles())
-    return df.repartition(cores) if n_files < cores else df
+_BYTE_ORDER_MARK = "\ufeff"
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -38,20 +25,20 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: whole text, path and name."""
-    return describe_files(spark.read.options(**_WHOLE).text(path))
+    return describe_files(spark.read.text(path, wholetext=True))
 
 
 def stream_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """The same as a stream of the files that arrive in ``path``."""
-    reader = spark.readStream.options(**_WHOLE)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return describe_files(reader.text(path))
+    return describe_files(reader.text(path, wholetext=True))
 
 
 def describe_files(texts: DataFrame) -> DataFrame:
     return texts.select(
-        F.col("value").alias("json"),
+        F.ltrim("value", F.lit(_BYTE_ORDER_MARK)).alias("json"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
     )

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinloom.operators.shred import explode_entries
-from clinloom.sources.files import spread
 from clinloom.workload.registry import Tables
 
 # --- SQL text of JSON parts ---------------------------------------------------
@@ -67,7 +66,7 @@ def documents(rows: DataFrame, doc_id: str, *entries: str) -> DataFrame:
     """One bundle per row: the entries, and one entry of a type nobody reads."""
     body = ", ',', ".join([*entries, f"'{_OTHER}'"])
     head = '{"resourceType":"Bundle","type":"transaction","entry":['
-    return spread(rows).selectExpr(f"{doc_id} AS doc_id", f"concat('{head}', {body}, ']}}') AS json")
+    return rows.hint("rebalance").selectExpr(f"{doc_id} AS doc_id", f"concat('{head}', {body}, ']}}') AS json")
 
 
 def entries(rows: DataFrame, doc_id: str, kind: str, url: str, **fields: str) -> DataFrame:

@@ -6,6 +6,7 @@ from clinloom.operators import resources
 from clinloom.operators.load import load_new
 from clinloom.plans.marts import claims_overview
 from clinloom.workload import bundles, star
+from clinloom.workload.marts import _avg
 from clinloom.workload.registry import Tables, as_doubles, query
 
 
@@ -240,7 +241,7 @@ def person(t: Tables):
     return resources.extract_person(bundles.people(t))
 
 
-@query("q_claims_overview_from_documents", """
+@query("q_claims_overview_from_documents", f"""
 WITH work AS (
   SELECT DISTINCT o_orderkey, o_orderstatus, l_orderkey, l_linenumber, l_returnflag, l_suppkey, o_orderpriority,
          CASE WHEN l_linestatus = 'F' THEN l_partkey END AS prescription, i.n, l_extendedprice, o_custkey,
@@ -250,6 +251,7 @@ WITH work AS (
   WHERE o_orderpriority <> '1-URGENT')
 SELECT o_orderstatus AS claimStatus, 'claim' AS claimUse, COUNT(*) AS claimCount,
        CAST(SUM(CAST(l_extendedprice AS DECIMAL(19,4))) AS DOUBLE) AS totalClaimAmount,
+       {_avg('l_extendedprice')} AS averageClaimAmount,
        MIN(first_day) AS earliestClaimDate, MAX(last_day) AS latestClaimDate
 FROM work GROUP BY o_orderstatus""")
 def claims_overview_from_documents(t: Tables):
@@ -260,4 +262,4 @@ def claims_overview_from_documents(t: Tables):
     known = star.claims_of_orders(t).filter("claimUse = '1-URGENT'")
     work = resources.extract_claim(bundles.claims(t), repeats=False)
     fresh = load_new(work, known, "claimId", dedupe="rows")
-    return as_doubles(claims_overview(fresh).drop("averageClaimAmount"), "totalClaimAmount")
+    return as_doubles(claims_overview(fresh), "totalClaimAmount", "averageClaimAmount")

@@ -9,20 +9,19 @@ from clinloom.operators.shred import (
     explode_entries, items, leaf, node, obj, rows, shape, tabulate, texts,
 )
 from clinloom.operators.typed import typed
-from clinloom.sources.files import spread
 from clinloom.workload import bundles
 from clinloom.workload.bundles import arr, first_n, order_lines, st
 from clinloom.workload.registry import Tables, as_doubles, query
 
 
 def _json(df: DataFrame, key: str, json: str) -> DataFrame:
-    return spread(df).selectExpr(f"{key} AS id", f"to_json({json}) AS resource")
+    return df.hint("rebalance").selectExpr(f"{key} AS id", f"to_json({json}) AS resource")
 
 
 @query("q_shred_props", """
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
 def shred_props(t: Tables):
-    df = tabulate(spread(t.events.select("event_id", "props")), shape(leaf("k")), text="props")
+    df = tabulate(t.events.select("event_id", "props").hint("rebalance"), shape(leaf("k")), text="props")
     return typed(df, {"k": "int"})
 
 
@@ -31,11 +30,33 @@ SELECT doc_id AS id, l.line AS line_text
 FROM documents, unnest(string_split(text, chr(10))) AS l(line)""")
 def shred_array_explode(t: Tables):
     """Whole documents, one JSON array element per line of text."""
-    lines = "transform(split(text, '\\n'), x -> named_struct('text', concat('=', x)))"
-    df = tabulate(
-        _json(t.documents, "doc_id", st(line=lines)), shape(rows("line", leaf("text"))), "line"
+    lines = "transform(split(text, '\\n'), x -> named_struct('text', x))"
+    return tabulate(_json(t.documents, "doc_id", st(line=lines)), shape(rows("line", leaf("text"))), "line")
+
+
+@query("q_shred_json_like_text", """
+SELECT event_id AS id, props AS whole, '[' || CAST(event_id AS VARCHAR) || ']' AS part, props AS one_text
+FROM events""")
+def shred_json_like_text(t: Tables):
+    """Texts that are themselves JSON stay texts, at every level."""
+    df = _json(t.events, "event_id", st(
+        whole="props", part="concat('[', event_id, ']')", one=arr(st(text="props")),
+    ))
+    return tabulate(df, shape(leaf("whole", "part"), rows("one", leaf("text"))), "one")
+
+
+@query("q_shred_exact_money", """
+SELECT l_orderkey AS id, l_linenumber AS n, CAST(l_partkey * 1000000000000 + l_suppkey AS VARCHAR) || '.6789' AS total
+FROM lineitem""")
+def shred_exact_money(t: Tables):
+    """Numbers of more digits than a double holds, inside a bundle."""
+    total = "l_partkey * 1000000000000 + l_suppkey"
+    docs = t.lineitem.hint("rebalance").selectExpr(
+        "l_orderkey AS id", "l_linenumber AS n",
+        f"concat('{{\"entry\":[{{\"fullUrl\":\"u\",\"resource\":{{\"resourceType\":\"Claim\",\"total\":{{\"value\":', {total}, '.6789}}}}}}]}}') AS json",
     )
-    return df.select("id", F.substring("line_text", 2, 2147483647).alias("line_text"))
+    found = tabulate(explode_entries(docs, "Claim"), shape(obj("total", leaf("value"))))
+    return found.select("id", "n", F.col("total_value").alias("total"))
 
 
 @query("q_shred_outer_empty", """
@@ -60,7 +81,7 @@ def shred_object_or_array(t: Tables):
     a = f"CASE l_returnflag WHEN 'A' THEN concat('\"a\":', {one}, ',') WHEN 'R' THEN concat('\"a\":', {two}, ',') ELSE '' END"
     w = "named_struct('w', l_linestatus)"
     o = f"CASE l_linestatus WHEN 'F' THEN to_json(array({w}, {w})) ELSE to_json({w}) END"
-    df = spread(t.lineitem).selectExpr("l_orderkey AS id", f"concat('{{', {a}, '\"o\":', {o}, '}}') AS resource")
+    df = t.lineitem.hint("rebalance").selectExpr("l_orderkey AS id", f"concat('{{', {a}, '\"o\":', {o}, '}}') AS resource")
     df = tabulate(df, shape(rows("a", leaf("v")), node("o", leaf("w"))), "a")
     return df.select("id", F.col("a_v").try_cast("bigint").alias("a_v"), "o_w")
 
@@ -130,7 +151,7 @@ def shred_typed_scalars(t: Tables):
             "bad": "concat('\"', l_returnflag, '\"')",
         }.items()
     )
-    df = spread(t.lineitem).selectExpr("l_orderkey AS id", f"concat('{{', {body}, '}}') AS resource")
+    df = t.lineitem.hint("rebalance").selectExpr("l_orderkey AS id", f"concat('{{', {body}, '}}') AS resource")
     kinds = {"n": "int", "q": "double", "m": "money", "b": "boolean", "d": "date", "ts": "timestamp", "bad": "int"}
     return as_doubles(typed(tabulate(df, shape(leaf(*kinds))), kinds), "m")
 
@@ -143,15 +164,19 @@ def shred_lax_scalars(t: Tables):
     """A scalar asked of an object or array is NULL; a path through a non-object too."""
     s = "CASE l_returnflag WHEN 'A' THEN concat('\"[', l_linestatus, '\"') WHEN 'R' THEN '[1,2]' ELSE '{\"z\":1}' END"
     p = "CASE l_returnflag WHEN 'N' THEN to_json(named_struct('x', l_linestatus)) WHEN 'R' THEN '[{\"x\":1}]' ELSE '\"x\"' END"
-    df = spread(t.lineitem).selectExpr("l_orderkey AS id", f"concat('{{\"s\":', {s}, ',\"p\":', {p}, '}}') AS resource")
+    df = t.lineitem.hint("rebalance").selectExpr("l_orderkey AS id", f"concat('{{\"s\":', {s}, ',\"p\":', {p}, '}}') AS resource")
     return tabulate(df, shape(leaf("s"), obj("p", leaf("x"))))
 
 
 @query("q_entries_by_type", """
-SELECT o_orderkey AS doc_id, 'urn:uuid:' || CAST(o_orderkey AS VARCHAR) AS fullUrl, 'Encounter' AS resourceType
+SELECT o_orderkey AS doc_id, 'urn:uuid:' || CAST(o_orderkey AS VARCHAR) AS fullUrl, 'Encounter' AS resourceType,
+       o_orderstatus AS x, CAST(NULL AS VARCHAR) AS status
 FROM orders
-UNION ALL SELECT o_orderkey, 'urn:uuid:other', 'Observation' FROM orders""")
+UNION ALL SELECT o_orderkey, 'urn:uuid:other', 'Observation', NULL, 'final' FROM orders""")
 def entries_by_type(t: Tables):
     """All entries of all documents, with the type read ahead of the resource."""
     docs = bundles.documents(t.orders, "o_orderkey", bundles.entry("o_orderkey", "Encounter", x="o_orderstatus"))
-    return explode_entries(docs).select("doc_id", "fullUrl", "resourceType")
+    return explode_entries(docs).select(
+        "doc_id", "fullUrl", "resourceType", F.get_json_object("resource", "$.x").alias("x"),
+        F.get_json_object("resource", "$.status").alias("status"),
+    )

@@ -38,14 +38,6 @@ def test_splice(spark):
     assert value(spark, scalars.splice(F.lit("abc"), F.lit(0), 1, "")) is None
 
 
-@pytest.mark.parametrize("text, plain", [
-    ("1.23456789E7", "12345678.9"), ("1.5E7", "15000000"), ("129.16", "129.16"), ("1.0E-4", "0.0001"),
-    ("E7", "E7"), ("10", "10"), (None, None),
-])
-def test_plain_number(spark, text, plain):
-    assert value(spark, scalars.plain_number(F.lit(text).cast("string"))) == plain
-
-
 @pytest.mark.parametrize("text, number", [
     ("12", 12), (" -3 ", -3), ("+7", 7), ("12.0", None), ("x1", None), ("", None), ("99999999999", None), (None, None),
 ])
