@@ -170,6 +170,8 @@ def load_resource(wh: Warehouse, name: str, run_date: dt.date | None = None) ->
         message = wh.spark.range(1).select(F.lit(str(error)).alias("m"))
         wh.append("import_error_logs", error_rows(message, spec.stage, JOB_FAILED, F.col("m")))
         return LoadReport(spec.target, n_errors=1, status=1)
+    finally:
+        wh.drop_staged()
 
 
 def _load(wh: Warehouse, spec: Load, entries: DataFrame) -> LoadReport:
@@ -296,4 +298,5 @@ def import_csv(wh: Warehouse, path: str, table: str, rename: Mapping[str, str] |
     n_errors = _log_errors(wh, errors)
     n_input, n_complete, n_inserted = work.count(), complete.count(), fresh.count()
     wh.append(table, fresh, [spec.unique[0] if spec.unique else spec.required[0]], stable=True)
+    wh.drop_staged()
     return LoadReport(table, n_input, n_complete - n_inserted, n_inserted, n_errors)

@@ -45,11 +45,20 @@ def mart_views(wh: Warehouse, pattern: str = marts.DIABETES, as_of: dt.date | No
 
 
 def register_views(wh: Warehouse, pattern: str = marts.DIABETES, as_of: dt.date | None = None) -> list[str]:
-    """Register functions, tables and marts in the session; the names registered."""
+    """Register functions, tables and marts in the session; the names registered.
+
+    The views follow what ``wh`` writes from then on. Rows that others write are seen
+    after another call.
+    """
     register_functions(wh.spark)
-    frames = {name: wh.read(name) for name in TABLES}
-    frames["JSONLogs"] = frames["JSONLogs"].filter(f"status = {IMPORTED}").drop("status")
-    frames.update(mart_views(wh, pattern, as_of))
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)
-    return list(frames)
+
+    def refresh() -> list[str]:
+        frames = {name: wh.read(name) for name in TABLES}
+        frames["JSONLogs"] = frames["JSONLogs"].filter(f"status = {IMPORTED}").drop("status")
+        frames.update(mart_views(wh, pattern, as_of))
+        for name, df in frames.items():
+            df.createOrReplaceTempView(name)
+        return list(frames)
+
+    wh.after_write = refresh
+    return refresh()

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clinloom.functions.scalars import is_json_document
 from clinloom.operators.documents import FAILED, IMPORTED, checksum
@@ -67,35 +71,63 @@ def as_documents(
     )
 
 
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The headers below ``path``, each with the files that open with it."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    first = lines.filter(F.trim("value") != "").groupBy("file").agg(F.min_by("value", "place").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file").toLocalIterator():
+        names = next(csv.reader([row["line"].lstrip(_BYTE_ORDER_MARK).rstrip("\r")]))
+        found.setdefault(tuple(names), []).append(unquote(row["file"]))
+    return found
+
+
 def read_csv(
     spark: SparkSession, path: str, table: str, rename: Mapping[str, str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """A CSV file with a header as rows of a table, and its error rows.
+    """CSV files with headers as rows of a table, and its error rows.
 
-    Columns are matched by header name (``rename`` maps header to table column),
-    read as text and cast; a line with the wrong number of fields or a value
-    that does not convert gives an error row. A malformed line is not loaded,
-    an unreadable value loads as NULL.
+    Every file's columns are matched by its own header (``rename`` maps header to
+    table column), read as text and cast; fields may hold quoted line breaks. A
+    record with the wrong number of fields or a value that does not convert gives
+    an error row. A malformed record is not loaded, an unreadable value loads as NULL.
     """
-    rename = dict(rename or {})
-    # Reads one line only: the header gives the names, nothing is inferred.
-    header = spark.read.option("header", True).csv(path).columns
+    rename = {k.lower(): v for k, v in (rename or {}).items()}
     broken = "_broken_line"
-    fields = ", ".join(f"`{c}` STRING" for c in [*header, broken])
-    parsed = F.from_csv("value", F.lit(fields), {"columnNameOfCorruptRecord": broken})
-    lines = (
-        spark.read.text(path)
-        .filter(F.trim("value") != "")
-        .select(parsed.alias("line"))
-        .select("line.*")
-        # Every file of a folder brings the header line.
-        .filter(~F.array(*[F.col(f"`{c}`") for c in header]).eqNullSafe(F.array(*map(F.lit, header))))
+    reader = (
+        spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+        .option("columnNameOfCorruptRecord", broken)
     )
-    by_name = {rename.get(c, c).lower(): c for c in header}
-    target = [f for f in TABLES[table].schema if f.name.lower() in by_name]
-    text = lines.select(
-        *[F.col(f"`{by_name[f.name.lower()]}`").alias(f.name) for f in target], broken
+    texts = []
+    for header, files in csv_headers(spark, path).items():
+        fields = T.StructType([T.StructField(c, T.StringType()) for c in [*header, broken]])
+        records = reader.schema(fields).csv(files)
+        texts.append(csv_columns(records, header, table, rename, broken))
+    if not texts:
+        texts = [spark.createDataFrame([], T.StructType([T.StructField(broken, T.StringType())]))]
+    text = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), texts)
+    return csv_rows(text, table, broken)
+
+
+def csv_columns(
+    records: DataFrame, header: Iterable[str], table: str, rename: Mapping[str, str], broken: str
+) -> DataFrame:
+    """The fields of a table among the records' columns, still text, and the broken record."""
+    by_name = {rename.get(c.lower(), c).lower(): c for c in header}
+    wanted = [f.name for f in TABLES[table].schema if f.name.lower() in by_name]
+    # Spark refuses to read the broken record alone, so a field always comes with it.
+    nothing = F.left(F.coalesce(F.col(f"`{records.columns[0]}`"), F.lit("")), F.lit(0))
+    return records.select(
+        *[F.col(f"`{by_name[n.lower()]}`").alias(n) for n in wanted], F.concat(broken, nothing).alias(broken)
     )
+
+
+def csv_rows(text: DataFrame, table: str, broken: str) -> tuple[DataFrame, DataFrame]:
+    """Typed rows of a table from text columns, and error rows for what can't be read."""
+    target = [f for f in TABLES[table].schema if f.name in text.columns]
     rows = text.filter(F.col(broken).isNull()).select(
         *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in target]
     )

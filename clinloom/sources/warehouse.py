@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.after_write: Callable[[], None] | None = None
+        self._staged: list[str] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -43,6 +46,8 @@ class Warehouse:
         if table.partition_by:
             writer = writer.partitionBy(*table.partition_by)
         writer.parquet(self.path(name))
+        if self.after_write:
+            self.after_write()
 
     def recreate_all(self) -> None:
         for name in TABLES:
@@ -66,8 +71,17 @@ class Warehouse:
         """Write rows once under the root and read them back."""
         path = f"{self.root}/_staging/{label}-{uuid.uuid4().hex}"
         rows.write.parquet(path)
+        self._staged.append(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def drop_staged(self) -> None:
+        """Delete what this object has staged; nothing made of it may be read after."""
+        files = self.spark._jvm.org.apache.hadoop.fs
+        for folder in self._staged:
+            path = files.Path(folder)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._staged.clear()
+
     def _with_key(self, name, table: Table, rows: DataFrame, order, stable) -> DataFrame:
         if table.identity is None or table.identity[0] in rows.columns:
             return rows
@@ -87,6 +101,8 @@ class Warehouse:
         if table.partition_by:
             writer = writer.partitionBy(*table.partition_by).option("partitionOverwriteMode", "dynamic")
         writer.parquet(self.path(name))
+        if self.after_write:
+            self.after_write()
 
 
 def conform(rows: DataFrame, table: Table) -> DataFrame:

@@ -9,7 +9,9 @@ import pytest
 from conftest import rows_of
 from sample import CLAIM
 
+from clinloom.functions.scalars import is_json_document
 from clinloom.plans import procedures as jobs
+from clinloom.plans.views import register_views
 from clinloom.sources.files import read_csv
 from clinloom.sources.warehouse import Warehouse
 from clinloom.streaming.ingest import ingest_available
@@ -69,6 +71,69 @@ def test_csv_composite_key(wh, tmp_path):
     assert jobs.import_csv(wh, str(path), "fact_encounter_conditions").n_inserted == 2
 
 
+def test_csv_own_header_per_file_and_quoted_breaks(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("ID,name,address\no1,First,1 Elm St\n")
+    (folder / "b.csv").write_bytes("\ufeffname,ID\r\n\"Sec\nond \"\"x\"\"\",o2\r\n".encode())
+    (folder / "c d.csv").write_text("name,ID\nThird,o3\n")
+    rows, errors = read_csv(spark, str(folder), "dim_organization")
+    assert rows_of(rows, "ID", "name", "address") == [
+        ("o1", "First", "1 Elm St"), ("o2", 'Sec\nond "x"', None), ("o3", "Third", None)
+    ]
+    assert errors.count() == 0
+
+
+BUNDLE = {"resourceType": "Bundle", "entry": [{"fullUrl": CLAIM[0], "resource": CLAIM[1]}]}
+TEXTS = {
+    "pretty.json": json.dumps(BUNDLE, indent=2), "crlf.json": json.dumps(BUNDLE, indent=1).replace("\n", "\r\n"),
+    "marked.json": "\ufeff" + json.dumps(BUNDLE), "two.json": json.dumps(BUNDLE) + "\n" + json.dumps(BUNDLE),
+}
+
+
+def test_files_of_many_lines(wh, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    for name, text in TEXTS.items():
+        (inbox / name).write_bytes(text.encode())
+    status = jobs.import_json_files(wh, str(inbox), NOW)
+    assert [(p.rsplit("/", 1)[1], s) for p, s in rows_of(status)] == [
+        ("crlf.json", 1), ("marked.json", 1), ("pretty.json", 1), ("two.json", 2)
+    ]
+    assert wh.read("JSONLogs").count() == 4 and wh.read("import_error_logs").count() == 1
+    assert [s for _, s in rows_of(jobs.import_json_files(wh, str(inbox), NOW))] == [3, 3, 3, 2]
+    jobs.split_documents(wh, NOW.date())
+    assert jobs.json_claim_extract(wh, NOW.date()).n_inserted == 2  # equal rows of three files
+    assert not list((tmp_path / "warehouse" / "_staging").glob("fact_claim*"))
+
+
+def test_views_follow_later_rows(wh, tmp_path):
+    path = tmp_path / "ec.csv"
+    path.write_text("patientID,encounter_ID,condition_code\np1,e1,a\n")
+    register_views(wh)
+    assert wh.spark.sql("SELECT * FROM fact_encounter_conditions").count() == 0
+    jobs.import_csv(wh, str(path), "fact_encounter_conditions")
+    assert wh.spark.sql("SELECT * FROM fact_encounter_conditions").count() == 1
+
+
+def test_streamed_files_of_many_lines(wh, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "pretty.json").write_text(TEXTS["pretty.json"])
+    ingest_available(wh, str(inbox), str(tmp_path / "checkpoint"), NOW).awaitTermination()
+    assert rows_of(wh.read("JSONLogs"), "file_name", "status") == [("pretty.json", 1)]
+
+
+@pytest.mark.parametrize("text, valid", [
+    ('{"a":1}', True), (' [1, 2]\n', True), ('{"a":1} xyz', False), ('{"a":1}{"b":2}', False), ('{"a":1},{"b":2}', False),
+    ('{"a":1,"a":2}', True), ('{"a":', False), ("5", False), ('"{}"', False), ("", False), (None, False), ("{}]", False),
+    ('{"a":"' + "x" * 3_000_000 + '"}', True),
+])
+def test_json_gate(spark, text, valid):
+    frame = spark.createDataFrame([(text,)], "t string")
+    assert frame.select(is_json_document("t")).first()[0] is valid
+
+
 def test_streaming_ingest_takes_each_file_once(wh, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
