@@ -25,10 +25,9 @@ def changed_documents(now: DataFrame, before: DataFrame, key: str, text: str = "
     return new.join(old, key).filter(F.col("old_checksum") != F.col("new_checksum"))
 
 
-def split_valid(docs: DataFrame, text: str = "json") -> tuple[DataFrame, DataFrame]:
-    """Documents that are JSON objects or arrays, and the rest."""
-    flagged = docs.withColumn("_valid", is_json_document(text))
-    return flagged.filter("_valid").drop("_valid"), flagged.filter("NOT _valid").drop("_valid")
+def judged(docs: DataFrame, text: str = "json", flag: str = "valid") -> DataFrame:
+    """Documents with a flag that tells JSON objects and arrays; each text is judged once."""
+    return docs.withColumn(flag, is_json_document(text))
 
 
 def day_slice(df: DataFrame, column: str, day: dt.date | None = None) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from clinloom.operators import documents, keys, load, quality
 from clinloom.operators.typed import cast_rejects
+from clinloom.plans.checks import check_table
+from clinloom.sources.files import as_documents, csv_columns, csv_rows
 from clinloom.workload.registry import Tables, query
 
 # --- documents ------------------------------------------------------------------
@@ -39,12 +41,76 @@ def _known(t: Tables) -> DataFrame:
     return t.labels.selectExpr("concat('doc/', doc_id) AS file_path")
 
 
-@query("q_validity_gate", _INCOMING + "SELECT file_path, valid FROM judged")
+@query("q_validity_gate", """
+SELECT 'event/' || CAST(event_id AS VARCHAR) || '/' || e.kind AS file_path, e.good AS valid
+FROM events, unnest([{'kind': 'whole', 'good': true}, {'kind': 'listed', 'good': true}, {'kind': 'repeated key', 'good': true},
+                     {'kind': 'trailing', 'good': false}, {'kind': 'doubled', 'good': false},
+                     {'kind': 'joined', 'good': false}, {'kind': 'cut', 'good': false}]) AS u(e)
+UNION ALL SELECT 'doc/' || CAST(doc_id AS VARCHAR), false FROM documents""")
 def validity_gate(t: Tables):
-    valid, rejected = documents.split_valid(_incoming(t))
-    return valid.select("file_path", F.lit(True).alias("valid")).unionByName(
-        rejected.select("file_path", F.lit(False).alias("valid"))
+    texts = {
+        "whole": "props", "listed": "concat('[', props, ', 1]')",
+        "repeated key": "concat('{\"a\":', event_id, ',\"a\":', props, '}')", "trailing": "concat(props, ' xyz')",
+        "doubled": "concat(props, props)", "joined": "concat(props, ',', props)",
+        "cut": "substring(props, 1, length(props) - 1)",
+    }
+    kinds = ", ".join(f"named_struct('kind', '{k}', 'json', {v})" for k, v in texts.items())
+    events = t.events.selectExpr("event_id", f"inline(array({kinds}))").selectExpr(
+        "concat('event/', event_id, '/', kind) AS file_path", "json"
     )
+    docs = t.documents.selectExpr("concat('doc/', doc_id) AS file_path", "text AS json")
+    return documents.judged(events.unionByName(docs)).select("file_path", "valid")
+
+
+@query("q_document_rows", """
+SELECT 'event/' || CAST(event_id AS VARCHAR) AS file_path, 'e' || CAST(event_id AS VARCHAR) AS file_name, md5(props) AS checksum,
+       CAST(1 AS INTEGER) AS status, DATE '2024-01-15' AS import_date, TIMESTAMP '2024-01-15 23:30:00' AS import_ts
+FROM events
+UNION ALL
+SELECT 'doc/' || CAST(doc_id AS VARCHAR), 'd' || CAST(doc_id AS VARCHAR), md5(text), 2, DATE '2024-01-15',
+       TIMESTAMP '2024-01-15 23:30:00'
+FROM documents""")
+def document_rows(t: Tables):
+    """Rows of the document log for texts that are JSON and texts that are not."""
+    files = _incoming(t).withColumn(
+        "file_name", F.concat(F.substring("file_path", 1, 1), F.substring_index("file_path", "/", -1))
+    )
+    return as_documents(files, dt.datetime(2024, 1, 15, 23, 30), 1).select(
+        "file_path", "file_name", "checksum", "status", "import_date", "import_ts"
+    )
+
+
+@query("q_csv_rows", """
+SELECT CAST(c_custkey AS VARCHAR) AS ID, CASE WHEN c_nationkey % 5 > 0 THEN DATE '1970-01-01' + c_nationkey END AS DOB,
+       c_name AS firstname, c_mktsegment AS lastname
+FROM customer WHERE c_nationkey % 3 > 0""")
+def csv_rows_of_customers(t: Tables):
+    """Text records to typed rows: bad dates load as NULL, broken records do not load."""
+    header = ["Id", "LAST", "BIRTHDATE", "FIRST"]
+    records = t.customer.selectExpr(
+        "CAST(c_custkey AS STRING) AS Id", "c_mktsegment AS LAST",
+        "CASE WHEN c_nationkey % 5 > 0 THEN CAST(date_add(DATE '1970-01-01', c_nationkey) AS STRING) ELSE 'soon' END AS BIRTHDATE",
+        "c_name AS FIRST", "CASE WHEN c_nationkey % 3 = 0 THEN 'torn' END AS broken",
+    )
+    rename = {"birthdate": "DOB", "first": "firstname", "last": "lastname"}
+    return csv_rows(csv_columns(records, header, "dim_patient", rename, "broken"), "dim_patient", "broken")[0]
+
+
+@query("q_check_table", """
+SELECT 'length' AS rule, '["' || CAST(s_suppkey AS VARCHAR) || '"]' AS key, 'phone has ' || CAST(90 + s_nationkey AS VARCHAR) || ' of 100' AS detail
+FROM supplier WHERE s_nationkey > 10
+UNION ALL SELECT 'unique', '["' || CAST(s_suppkey AS VARCHAR) || '"]', '2 rows' FROM supplier WHERE s_nationkey % 4 = 0
+UNION ALL SELECT 'length', '["' || CAST(s_suppkey AS VARCHAR) || '"]', 'phone has ' || CAST(90 + s_nationkey AS VARCHAR) || ' of 100'
+FROM supplier WHERE s_nationkey > 10 AND s_nationkey % 4 = 0""")
+def check_payers(t: Tables):
+    """Rules of a table: some rows doubled, some texts too long."""
+    rows = t.supplier.selectExpr(
+        "CAST(s_suppkey AS STRING) AS ID", "s_name AS name", "CAST(NULL AS STRING) AS address", "CAST(NULL AS STRING) AS city",
+        "CAST(NULL AS STRING) AS state", "CAST(NULL AS STRING) AS zip", "repeat('5', 90 + s_nationkey) AS phone",
+        "TIMESTAMP_NTZ '2024-01-15 00:00:00' AS created_dt",
+        "explode(sequence(1, CASE WHEN s_nationkey % 4 = 0 THEN 2 ELSE 1 END)) AS n",
+    ).drop("n")
+    return check_table(rows, "dim_payer")
 
 
 @query("q_skip_imported", _INCOMING + """
