@@ -38,7 +38,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
     "secret": _NOT_IN_WORD + r"(?:AKIA[0-9A-Z]{16}|gh[a-z]_[0-9A-Za-z]{20,}|sk-[0-9A-Za-z_-]{16,})"
-    r"|(?i:(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key)[=:] ?)[^\s,;\"']{6,}",
+    r"|(?i:(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key) ?[=:] ?[\"']?)[^\s,;\"']{6,}",
     "iban": _NOT_IN_WORD + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\d])",
     "ip": r"(?<![\p{L}\d.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?!\.?\d)",
     "card": _NOT_IN_WORD + r"(?:(?:\d{4}[ -]){3}\d{4}|[3-6]\d{12,18})(?![\p{L}\d])",
@@ -135,7 +135,7 @@ def _surrogate(kind: Column, value: Column, key: str, draw: Column) -> Column:
     email = F.concat(
         _scrambled(local, seed), F.lit("@"), _scrambled(host, F.concat(F.lit(key + "|domain|"), domain)), ending
     )
-    head = F.regexp_extract(value, r"^(?:AKIA|gh[a-z]_|sk-|[A-Za-z_-]+[=:] ?)", 0)
+    head = F.regexp_extract(value, r"^(?:AKIA|gh[a-z]_|sk-|[A-Za-z_-]+ ?[=:] ?[\"']?)", 0)
     tail = value.substr(F.char_length(head) + 1, F.char_length(value))
     hexadecimal = tail.rlike("^[0-9a-f]+$")
     secret = F.concat(head, F.when(hexadecimal, _scrambled(tail, seed, "abcdef")).otherwise(_scrambled(tail, seed)))
