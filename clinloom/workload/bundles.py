@@ -119,6 +119,21 @@ def claims(t: Tables) -> DataFrame:
     )
 
 
+def mixed(t: Tables) -> DataFrame:
+    """Entries of bundles with three wanted types each, the claim with one to three items."""
+    item = st(sequence="i", productOrService=coded(("'c'", "'d'")), encounter=arr(ref("l_orderkey")))
+    return explode_entries(documents(
+        t.lineitem, "l_orderkey * 10 + l_linenumber",
+        entry(
+            "concat(l_orderkey, '-', l_linenumber)", "Claim", status="l_linestatus", patient=ref("l_suppkey"),
+            item=f"transform(sequence(1, l_linenumber % 3 + 1), i -> {item})",
+            total=st(value="l_extendedprice", currency="'USD'"),
+        ),
+        entry("l_orderkey", "Encounter", **{"class": st(code="l_returnflag")}, subject=ref("l_suppkey")),
+        entry("l_partkey", "Patient", gender="l_linestatus"),
+    ))
+
+
 def encounters(t: Tables) -> DataFrame:
     return entries(
         t.orders, "o_orderkey", "Encounter", "o_orderkey",

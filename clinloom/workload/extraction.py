@@ -42,6 +42,27 @@ def claim(t: Tables):
     return as_doubles(resources.extract_claim(bundles.claims(t)), "claimTotal")
 
 
+@query("q_extract_mixed_bundles", f"""
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, 'Claim' AS kind, l_linestatus AS status,
+       {_text('l_suppkey')} AS person, i.n AS item, {_text('l_orderkey')} AS encounter,
+       CAST(CAST(l_extendedprice AS DECIMAL(19,4)) AS DOUBLE) AS total
+FROM lineitem, unnest(range(1, l_linenumber % 3 + 2)) AS i(n)
+UNION ALL
+SELECT {_text('l_orderkey')}, 'Encounter', l_returnflag, {_text('l_suppkey')}, NULL, {_text('l_orderkey')}, NULL FROM lineitem""")
+def mixed_bundles(t: Tables):
+    """Claims of several items and encounters out of the same documents."""
+    entries = bundles.mixed(t)
+    claims = resources.extract_claim(entries).selectExpr(
+        "claimId AS id", "'Claim' AS kind", "claimStatus AS status", "claimPatientId AS person",
+        "CAST(itemSequence AS BIGINT) AS item", "encounterId AS encounter", "claimTotal AS total",
+    )
+    visits = resources.extract_encounter(entries).selectExpr(
+        "encounterID AS id", "'Encounter' AS kind", "encounter_class AS status", "patientID AS person",
+        "CAST(NULL AS BIGINT) AS item", "encounterID AS encounter", "CAST(NULL AS DECIMAL(19,4)) AS total",
+    )
+    return as_doubles(claims.unionByName(visits), "total")
+
+
 _ENCOUNTER_FANOUT = """
 FROM orders,
      unnest([{'code': o_orderstatus, 'display': 'status'}, {'code': o_orderpriority, 'display': 'priority'}]) AS c(coding),
