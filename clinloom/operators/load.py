@@ -102,6 +102,24 @@ def duplicate_count(work: DataFrame, known: DataFrame, key: str) -> DataFrame:
     )
 
 
+def report_counts(
+    work: DataFrame, known: DataFrame, fresh: DataFrame, errors: DataFrame, key: str
+) -> DataFrame:
+    """One row with all numbers of a load; each input is counted in its own stage of one job."""
+    nothing = F.lit(0).cast("long")
+    batch = duplicate_count(work, known, key).select(
+        "n_input", "n_duplicates", nothing.alias("n_inserted"), nothing.alias("n_errors")
+    )
+    inserted = fresh.agg(F.count(F.lit(1)).alias("n_inserted")).select(
+        nothing.alias("n_input"), nothing.alias("n_duplicates"), "n_inserted", nothing.alias("n_errors")
+    )
+    failed = errors.agg(F.count(F.lit(1)).alias("n_errors")).select(
+        nothing.alias("n_input"), nothing.alias("n_duplicates"), nothing.alias("n_inserted"), "n_errors"
+    )
+    parts = batch.unionByName(inserted).unionByName(failed)
+    return parts.agg(*[F.sum(c).alias(c) for c in ("n_input", "n_duplicates", "n_inserted", "n_errors")])
+
+
 def inserted_keys(new_rows: DataFrame, key: str, resource_type: str, run_date: dt.date | None = None) -> DataFrame:
     """Echo of what was inserted: key, resource type and day."""
     day = F.current_date() if run_date is None else F.lit(run_date)

@@ -231,10 +231,17 @@ def inserted_keys(t: Tables):
 
 
 @query("q_load_report", _LOAD + """
-SELECT (SELECT COUNT(*) FROM work) AS n_input, (SELECT COUNT(*) FROM work) - COUNT(*) AS n_duplicates FROM fresh""")
+SELECT 'fact_claim' AS target, (SELECT COUNT(*) FROM work) AS n_input, (SELECT COUNT(*) FROM work) - COUNT(*) AS n_duplicates,
+       COUNT(*) AS n_inserted,
+       (SELECT COUNT(*) FROM lineitem WHERE l_returnflag IS NOT NULL) AS n_errors, CAST(0 AS INTEGER) AS status FROM fresh""")
 def load_report(t: Tables):
+    """Every number of a load; the claim code of no row converts to a number."""
     work = _work(t)
-    return load.duplicate_count(work, load.known_keys(work, _target(t), "claimId"), "claimId")
+    known = load.known_keys(work, _target(t), "claimId")
+    fresh = load.load_new(work, _target(t), "claimId", known=known)
+    errors = cast_rejects(work, {"claimCode": "int"}, "FAILED WHILE CREATING CLAIM", "claimId")
+    counts = load.report_counts(work, known, fresh, errors, "claimId")
+    return counts.select(F.lit("fact_claim").alias("target"), "*", F.lit(0).alias("status"))
 
 
 @query("q_error_log", """
