@@ -83,10 +83,10 @@ def extend(
 _BYTES_AT_ONCE = 4 << 20  # of memory only
 
 
-def _by_size(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts have about ``_BYTES_AT_ONCE`` bytes, one row at least."""
+def _by_size(batch: pa.RecordBatch, column: int, size: int = _BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about ``size`` bytes, one row at least."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    block = np.cumsum(lengths, dtype=np.int64) // _BYTES_AT_ONCE
+    block = np.cumsum(lengths, dtype=np.int64) // size
     cuts = np.flatnonzero(np.diff(block)) + 1
     for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
         yield batch.slice(start, end - start)

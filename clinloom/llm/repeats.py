@@ -24,8 +24,10 @@ from clinloom.llm.common import _by_size, map_rows, utf8, written
 LENGTH = 400
 ANCHOR = 64
 BLOCK = 128
+SLICE = 16
 CROWD = 100  # texts of one core beyond which its windows are compared apart, each under its own hash
 _TEXTS_AT_ONCE = 48_000  # bytes, of speed only: what keeps the merge in a core's cache
+_BYTES_HASHED = 1 << 20  # of memory only: each byte hashed takes about a hundred
 _PLACE_BITS = 28  # of a slice of texts; a single text may have 256 MB
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -68,10 +70,13 @@ def _together(long: np.ndarray, *places: np.ndarray) -> np.ndarray:
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(core, content, doc, text, start, windows) of all stretches of the rows (doc, text hash, text)."""
-    names = ["core", "content", "doc", "hash", "start", "windows"]
+    """(core, content, doc, text, start, windows, ahead) of all stretches of the rows (doc, text hash, text).
+
+    ``ahead`` tells how many places before its core a stretch starts.
+    """
+    names = ["core", "content", "doc", "hash", "start", "windows", "ahead"]
     for batch in batches:
-        for part in _by_size(batch, 2):
+        for part in _by_size(batch, 2, _BYTES_HASHED):
             texts = [utf8(t) for t in part.column(2).to_pylist()]
             sizes = np.array([len(t) for t in texts], np.int64)
             use = np.flatnonzero(sizes >= LENGTH)
@@ -101,25 +106,27 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = pa.array(use[owner])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(core.view(np.int64)), pa.array(content.view(np.int64)), part.column(0).take(row),
-                 part.column(1).take(row), pa.array(start - begin), pa.array(windows.astype(np.int32))],
+                 part.column(1).take(row), pa.array(start - begin), pa.array(windows.astype(np.int32)),
+                 pa.array((center - start).astype(np.int32))],
                 names,
             )
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each wanted stretch (core, content, start, windows) of a text."""
+    """The bytes of each wanted stretch (core, content, start, windows, ahead) of a text."""
     for batch in batches:
         for part in _by_size(batch, 0):
-            core, content, kept = [], [], []
+            core, content, ahead, kept = [], [], [], []
             for text, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 text = utf8(text)
                 for w in wanted:
                     core.append(w["core"])
                     content.append(w["content"])
+                    ahead.append(w["ahead"])
                     kept.append(text[w["start"] : w["start"] + w["windows"] - 1 + LENGTH])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(core, pa.int64()), pa.array(content, pa.int64()), pa.array(kept, pa.binary())],
-                ["core", "content", "bytes"],
+                [pa.array(core, pa.int64()), pa.array(content, pa.int64()), pa.array(ahead, pa.int32()), pa.array(kept, pa.binary())],
+                ["core", "content", "ahead", "bytes"],
             )
 
 
@@ -156,17 +163,29 @@ def _merge_cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield settle(waiting)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(core, content, window, at): a hash of each window of the stretches (core, content, bytes)."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(core, content, slice, shared, first, windows): a stretch in slices of ``SLICE`` windows.
+
+    ``shared`` is a hash of the bytes common to all windows of a slice, ``windows`` has
+    one of each. Slices are counted from the core, so equal windows are in equal slices.
+    """
+    names = ["core", "content", "slice", "shared", "first", "windows"]
     for batch in batches:
-        for core, content, text in zip(*(c.to_pylist() for c in batch.columns)):
+        columns: list[list] = [[] for _ in names]
+        for core, content, ahead, text in zip(*(c.to_pylist() for c in batch.columns)):
             _, long = _hashes(np.frombuffer(text, np.uint8))
             at = np.arange(len(text) - LENGTH + 1)
             window = _together(long, at, at + LENGTH - 256).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(at.size, core)), pa.array(np.full(at.size, content)), pa.array(window), pa.array(at)],
-                ["core", "content", "window", "at"],
-            )
+            number = (ahead - at) // SLICE
+            firsts = np.flatnonzero(np.diff(number, prepend=-1))
+            begin = ahead - number[firsts] * SLICE
+            shared = _together(long, begin, begin + LENGTH - SLICE + 1 - 256).view(np.int64)
+            for i, (first, last) in enumerate(zip(firsts.tolist(), [*firsts[1:].tolist(), at.size])):
+                row = (core, content, int(number[first]), int(shared[i]), first, window[first:last])
+                for column, value in zip(columns, row):
+                    column.append(value)
+        kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,38 +228,47 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     stretches = written(
         map_rows(
             texts, ["doc", "hash", "text"],
-            "core long, content long, doc long, hash long, start long, windows int", _stretches,
+            "core long, content long, doc long, hash long, start long, windows int, ahead int", _stretches,
         )
     )
-    shared = stretches.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    # Counts are written before they are joined: a join straight on an aggregate keeps
+    # its partitions, and Spark could not split those of a common core.
+    shared = written(stretches.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"))
     members = written(stretches.join(shared, "core"))
     contents = written(
         members.groupBy("core", "content").agg(
-            F.count("*").alias("n"), F.min(F.struct("doc", "hash", "start", "windows")).alias("one")
+            F.count("*").alias("n"), F.min(F.struct("doc", "hash", "start", "windows", "ahead")).alias("one")
         )
     )
-    crowds = contents.groupBy("core").agg(F.count("*").alias("contents")).where("contents > 1")
+    crowds = written(contents.groupBy("core").agg(F.count("*").alias("contents")).where("contents > 1"))
     # Texts are fetched for cores with different contents only, one of each.
     wanted = (
         contents.join(crowds, "core").select("core", "content", "contents", "one.*")
-        .groupBy("doc", "hash").agg(F.collect_list(F.struct("core", "content", "start", "windows")).alias("wanted"))
+        .groupBy("doc", "hash").agg(F.collect_list(F.struct("core", "content", "start", "windows", "ahead")).alias("wanted"))
     )
     pieces = written(
         texts.dropDuplicates(["doc", "hash"]).join(wanted, ["doc", "hash"]).select("text", "wanted")
-        .mapInArrow(_texts, "core long, content long, bytes binary").join(crowds, "core")
+        .mapInArrow(_texts, "core long, content long, ahead int, bytes binary").join(crowds, "core")
     )
     few = pieces.where(F.col("contents") <= CROWD).select("core", "content", "bytes")
     merged = (
         few.repartition("core").sortWithinPartitions("core")
         .mapInArrow(_merge_cores, "core long, content long, runs array<struct<first: long, last: long>>")
     )
-    windows = (
-        pieces.where(F.col("contents") > CROWD).select("core", "content", "bytes")
-        .mapInArrow(_windows, "core long, content long, window long, at long")
+    # Crowds: slices whose common bytes occur once hold no repeats, so few windows are left to compare.
+    slices = written(
+        pieces.where(F.col("contents") > CROWD).select("core", "content", "ahead", "bytes")
+        .mapInArrow(_slices, "core long, content long, slice long, shared long, first long, windows array<long>")
+    )
+    alike = ["core", "slice", "shared"]
+    candidates = written(slices.groupBy(*alike).agg(F.count("*").alias("n")).where("n > 1").select(*alike))
+    windows = slices.join(candidates, alike).select(
+        "core", "content", "first", F.posexplode("windows").alias("at", "window")
     )
-    twice = windows.groupBy("core", "window").agg(F.count("*").alias("n")).where("n > 1").select("core", "window")
+    twice = written(windows.groupBy("core", "window").agg(F.count("*").alias("n")).where("n > 1").select("core", "window"))
+    at = F.col("first") + F.col("at")
     crowded = windows.join(twice, ["core", "window"]).groupBy("core", "content").agg(
-        F.collect_list(F.struct(F.col("at").alias("first"), (F.col("at") + 1).alias("last"))).alias("runs")
+        F.collect_list(F.struct(at.alias("first"), (at + 1).alias("last"))).alias("runs")
     )
     # A content that occurs twice is a repeat as a whole.
     copies = contents.where("n > 1").select(

@@ -21,6 +21,7 @@ SCALE = 64
 BINS = 256
 QUERY_BLOCK = 512
 VECTOR_BLOCK = 1024
+_BLOCKS_HELD = 64  # of memory only: histograms of 1 MB each
 _EXACT = float(1 << 53)
 _LONG = float((1 << 63) - 1024)
 _MOST = 4_500_000_000_000_000_000
@@ -87,7 +88,18 @@ def _own(query_ids: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of scores by (query, bin) inside each query's current bounds."""
+    """Counts of scores by (query, bin) inside each query's current bounds, summed over a task's blocks."""
+    held: dict[int, np.ndarray] = {}
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for block, counts in held.items():
+            cell = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(cell.size, block)), pa.array(cell // BINS), pa.array(cell % BINS), pa.array(counts[cell])],
+                ["q_block", "slot", "bin", "n"],
+            )
+        held.clear()
+
     for batch in batches:
         for row in batch.to_pylist():
             query_ids, ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
@@ -98,11 +110,13 @@ def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             q, v = np.nonzero(inside)
             cell = q * BINS + (scores[q, v] - low[q]) // step[q]
             counts = np.bincount(cell, minlength=query_ids.size * BINS)
-            cell = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(cell.size, row["q_block"])), pa.array(cell // BINS), pa.array(cell % BINS), pa.array(counts[cell])],
-                ["q_block", "slot", "bin", "n"],
-            )
+            if row["q_block"] in held:
+                held[row["q_block"]] += counts
+            else:
+                held[row["q_block"]] = counts
+            if len(held) > _BLOCKS_HELD:
+                yield from counted()
+    yield from counted()
 
 
 def _candidates(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
