@@ -14,7 +14,7 @@ import pytest
 from compare import differences, duck
 
 from clinloom.llm import (
-    bwt_merge, chat, components, decontaminate, fm_index, language, lm_score, packing, pii, repeats, simhash,
+    bwt_merge, chat, components, decontaminate, fm_index, language, lm_score, packing, pii, pipeline, repeats, simhash,
     token_count, topk,
 )
 from clinloom.llm import queries as _registered  # noqa: F401
@@ -228,6 +228,14 @@ def test_skipped_search_is_the_best_path():
         at += n
 
 
+def test_stage_keeps_documents_without_labels(spark, odd_documents):
+    unlabelled = odd_documents.selectExpr("* except (lang)", "cast(null as string) as lang")
+    kept = pipeline.language_id(spark, unlabelled, FOLDER)
+    want = [r.text for r in odd_documents.collect() if language.has_letter(r.text)]
+    assert Counter(r.text for r in kept.collect()) == Counter(want)
+    assert kept.where("lang is not null").isEmpty() and kept.columns == unlabelled.columns
+
+
 # 7. SimHash
 
 def test_near_duplicates(spark, documents, odd_documents, no_documents):
