@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from clinloom.llm.common import fresh_name, remove, written
 
 MOST_DRAWS = 100
+FORMAT_DRAWS = 4  # draws in the value's own format; later ones have a keyed tail besides
 
 # Titles before names by gender, syllables and endings of surrogate names by script.
 _TITLES = {
@@ -138,7 +139,15 @@ def _surrogate(kind: Column, value: Column, key: str, draw: Column) -> Column:
     head = F.regexp_extract(value, r"^(?:AKIA|gh[a-z]_|sk-|[A-Za-z_-]+ ?[=:] ?[\"']?)", 0)
     tail = value.substr(F.char_length(head) + 1, F.char_length(value))
     hexadecimal = tail.rlike("^[0-9a-f]+$")
-    secret = F.concat(head, F.when(hexadecimal, _scrambled(tail, seed, "abcdef")).otherwise(_scrambled(tail, seed)))
+    # Scrambling changes ASCII only; a tail without it, or with other letters, goes whole.
+    plain = tail.rlike("[0-9A-Za-z]") & ~tail.rlike(r"[^\x00-\x7f]")
+    fresh = F.substring(F.sha2(seed, 256), 1, 16)
+    secret = F.concat(
+        head,
+        F.when(~plain | (draw >= FORMAT_DRAWS), fresh)
+        .when(hexadecimal, _scrambled(tail, seed, "abcdef"))
+        .otherwise(_scrambled(tail, seed)),
+    )
     octets = _numbers(seed, F.lit(4))
 
     def octet(place: int, low: int, size: int) -> Column:
@@ -153,21 +162,28 @@ def _surrogate(kind: Column, value: Column, key: str, draw: Column) -> Column:
     code = F.regexp_extract(value, r"^\+\d{1,3}(?=[ .(-])", 0)
     phone = F.concat(code, _scrambled(value.substr(F.char_length(code) + 1, F.char_length(value)), seed))
     iban = F.concat(F.substring(value, 1, 2), _scrambled(value.substr(F.lit(3), F.char_length(value)), seed))
+    # A format without (enough) other values gets longer, or another one of its type.
+    more = F.lpad(F.conv(F.substring(fresh, 1, 15), 16, 10), 19, "0")
+    late = draw >= FORMAT_DRAWS
+    email = F.when(late, F.concat(F.substring_index(email, "@", 1), fresh, F.lit("@"), F.substring_index(email, "@", -1))).otherwise(email)
+    ip = F.when(late, F.concat(F.lit("2001:db8"), *[F.concat(F.lit(":"), F.substring(fresh, 4 * i + 1, 4)) for i in range(4)], F.lit("::"))).otherwise(ip)
+    card, phone, iban = (F.when(late, F.concat(x, more)).otherwise(x) for x in (card, phone, iban))
+    other = F.when(late, F.concat(_scrambled(value, seed), F.lit("-"), more)).otherwise(_scrambled(value, seed))
     result = F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "ip", ip)
     result = result.when(kind == "card", card).when(kind == "phone", phone).when(kind == "iban", iban)
     for script, syllables in _SYLLABLES.items():
         made = _syllables(seed, draw, syllables)
         for role, tail in _ENDINGS[script].items():
             result = result.when(kind == f"name:{script}:{role}", F.initcap(F.concat(made, F.lit(tail))))
-    return result.otherwise(_scrambled(value, seed))
+    return result.otherwise(other)
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, value, surrogate) of distinct entities (kind, value), all surrogates of a kind different.
 
     No surrogate is a value of its kind. Who collides is drawn again, later draws after
-    earlier ones and then by value, until nobody does; a kind whose format leaves fewer
-    replacements than it has values raises an error after ``MOST_DRAWS`` rounds.
+    earlier ones and then by value, until nobody does. After ``FORMAT_DRAWS`` draws a
+    surrogate gets longer than its value, so a format with too few values never runs out.
     """
     current = written(entities.withColumn("draw", F.lit(0)))
     real = current.select("kind", F.col("value").alias("surrogate")).withColumn("real", F.lit(True))
@@ -183,7 +199,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         following = written(checked.select("kind", "value", (F.col("draw") + F.col("again").cast("int")).alias("draw")))
         remove(checked)
         current = following
-    raise ValueError("a kind of entity has more values than its format has replacements")
+    raise ValueError(f"surrogates still meet after {MOST_DRAWS} draws")
 
 
 def replaced(documents: DataFrame, key: str, count: str | None = None) -> DataFrame:

@@ -303,6 +303,17 @@ def test_surrogates_stay_apart(spark):
     assert not any((r.kind, r.surrogate) in real for r in got)
 
 
+def test_surrogates_of_formats_without_others(spark):
+    texts = ["password: ********", "Password=......", "password: секрет", "password: секрет1", "pwd=******a"]
+    texts += [f"from {i}@x.org" for i in range(10)] + ["password: ......."]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.replaced(frame, "k", "n").collect()}
+    assert [got[i].n for i in range(len(texts))] == [1] * len(texts)
+    assert len({r.text for r in got.values()}) == len(texts) and not {r.text for r in got.values()} & set(texts)
+    assert got[0].text.startswith("password: ") and got[1].text.startswith("Password=") and "секрет" not in got[3].text
+    assert all(got[i].text.endswith(".org") for i in range(5, 15))
+
+
 # 9. Packing
 
 def _encoder():
