@@ -26,11 +26,16 @@ _TITLES = {
 _SYLLABLES = {
     "latin": "ba be bi bo da de do fa ga ka ke la le li lo ma me mi na ne ni no pa ra re ro sa se ta te va vi".split(),
     "cyrillic": "ба бе би бо да де до фа га ка ке ла ле ли ло ма ме ми на не ни но па ра ре ро са се та те ва ви".split(),
+    "greek": "βα βε βι βο δα δε δο φα γα κα κε λα λε λι λο μα με μι να νε νι νο πα ρα ρε ρο σα σε τα τε ζα ζι".split(),
+    "armenian": "բա բե բի բո դա դե դո ֆա գա կա կե լա լե լի լո մա մե մի նա նե նի նո պա րա րե րո սա սե տա տե վա վի".split(),
 }
 _ENDINGS = {
     "latin": {"f": "na", "m": "ron", "n": "rin", "s": "stel"},
     "cyrillic": {"f": "на", "m": "рон", "n": "рин", "s": "стел"},
+    "greek": {"f": "να", "m": "ρον", "n": "ριν", "s": "στελ"},
+    "armenian": {"f": "նա", "m": "րոն", "n": "րին", "s": "ստել"},
 }
+# Names of any other script are made of their own letters, which keeps the script.
 
 _TITLE = "(?:" + "|".join(t for titles in _TITLES.values() for t in titles) + ")"
 _NOT_IN_WORD = r"(?<![\p{L}\d])"
@@ -44,7 +49,9 @@ PATTERNS = {
     "ip": r"(?<![\p{L}\d.])(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?!\.?\d)",
     "card": _NOT_IN_WORD + r"(?:(?:\d{4}[ -]){3}\d{4}|[3-6]\d{12,18})(?![\p{L}\d])",
     "ssn": r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\p{L}\d-])",
-    "phone": r"(?<![\p{L}\d.+])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}"
+    # Seven to fifteen digits behind a plus; else groups of a country's own writing.
+    "phone": r"(?<![\p{L}\d.+])(?:\+\d(?:(?:[ .-]?\(|\)?[ ./-]|\))?\d){6,14}(?![\p{L}\d])|(?:\d[ -]?)?\(\d{2,5}\)[ .-]?\d{2,4}(?:[ .-]\d{2,4}){1,3}"
+    r"|0\d(?:(?: \d\d){4}|(?:\.\d\d){4}|(?:-\d\d){4})|0\d{2,4}[ /-]\d{5,8}|(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}"
     r"|\+\d{1,3}(?:[ .-]\d{2,4}){2,4}|\+\d{7,15})(?![\p{L}\d])",
     "name": r"(?<![\p{L}\d-])" + _TITLE + r"\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?(?![\p{L}\d])",
 }
@@ -68,8 +75,12 @@ def _parts(match: Column) -> Column:
     names = F.split(F.regexp_replace(match, rf"^{_TITLE}\.? ", ""), " ")
 
     def name(word: Column, place: Column) -> Column:
-        script = F.when(word.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).otherwise(F.lit("latin"))
-        role = F.when(place == F.size(names) - 1, F.lit("s")).otherwise(gender)
+        script = F.lit("other")
+        for known in _SYLLABLES:
+            script = F.when(word.rlike(rf"^\p{{Is{known.capitalize()}}}"), F.lit(known)).otherwise(script)
+        # A name alone may be a first or a last name: "l" until the corpus tells.
+        role = F.when(F.size(names) == 1, F.concat(F.lit("l"), gender))
+        role = role.when(place == F.size(names) - 1, F.lit("s")).otherwise(gender)
         return F.struct(F.concat(F.lit("name:"), script, F.lit(":"), role).alias("kind"), word.alias("value"))
 
     kind = _type_of(match)
@@ -175,6 +186,13 @@ def _surrogate(kind: Column, value: Column, key: str, draw: Column) -> Column:
         made = _syllables(seed, draw, syllables)
         for role, tail in _ENDINGS[script].items():
             result = result.when(kind == f"name:{script}:{role}", F.initcap(F.concat(made, F.lit(tail))))
+    letters = F.split(F.lower(value), "")
+    numbers = _numbers(seed, F.lit(6) + draw)
+    own = F.transform(
+        F.sequence(F.lit(0), F.lit(5) + draw),
+        lambda i: F.element_at(letters, F.conv(F.substr(numbers, i * 2 + 1, F.lit(2)), 16, 10).cast("int") % F.size(letters) + 1),
+    )
+    result = result.when(kind.startswith("name:other:"), F.initcap(F.array_join(own, "")))
     return result.otherwise(other)
 
 
@@ -202,9 +220,28 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     raise ValueError(f"surrogates still meet after {MOST_DRAWS} draws")
 
 
+def _entities(held: DataFrame, key: str) -> DataFrame:
+    """(kind, value, surrogate) of the kinds and values in ``held``; a lone name shares that of the same full name.
+
+    It is a last name if any document has it as the last of two, else a first name.
+    """
+    distinct = written(held.select("kind", "value").distinct())
+    lone = F.col("kind").rlike("^name:.*:l.$")
+    stem = F.regexp_replace("kind", "l?.$", "")
+    last = distinct.where(F.col("kind").rlike("^name:.*:s$")).select(stem.alias("stem"), "value", F.lit(True).alias("last"))
+    told = distinct.where(lone).withColumn("stem", stem).join(last, ["stem", "value"], "left").select(
+        "kind", "value", F.concat("stem", F.when(F.col("last"), "s").otherwise(F.substring("kind", -1, 1))).alias("as")
+    )
+    told = written(distinct.where(~lone).select("kind", "value", F.col("kind").alias("as")).union(told))
+    table = surrogates(told.select(F.col("as").alias("kind"), "value").distinct(), key)
+    return told.join(table.select(F.col("kind").alias("as"), "value", "surrogate"), ["as", "value"]).select("kind", "value", "surrogate")
+
+
 def replaced(documents: DataFrame, key: str, count: str | None = None) -> DataFrame:
     """``documents`` with the entities of ``text`` replaced, and in column ``count`` how many.
 
+    A name found behind a title is replaced in all its document, also without one.
+
     Rows without an entity stay untouched and never leave their partition. Null texts
     stay null with no entities; repeated rows get the same text; other columns are kept
     whatever their names. An empty table gives no rows.
@@ -221,11 +258,23 @@ def replaced(documents: DataFrame, key: str, count: str | None = None) -> DataFr
         .withColumn(row, F.monotonically_increasing_id())
     )
     held = marked.select(F.col(row).alias("row"), F.explode(F.array_distinct(F.flatten(F.col(f"`{hits}`.parts")))).alias("part")).select("row", "part.*")
-    table = surrogates(held.select("kind", "value").distinct(), key)
-    maps = held.join(table, ["kind", "value"]).groupBy("row").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.concat("kind", F.lit("|"), "value"), "surrogate"))).alias("table")
+    table = written(_entities(held, key))
+    pairs = F.array_sort(F.collect_list(F.struct("value", "kind", "surrogate")))
+    maps = held.join(table, ["kind", "value"]).groupBy("row").agg(pairs.alias("pairs"))
+    names = F.filter("pairs", lambda p: p["kind"].startswith("name:"))
+    maps = maps.select(
+        F.col("row").alias(row),
+        F.map_from_entries(F.transform("pairs", lambda p: F.struct(F.concat(p["kind"], F.lit("|"), p["value"]), p["surrogate"]))).alias(row + "t"),
+        names.alias("names"),
+    ).select(
+        row, row + "t",
+        F.map_from_entries(F.transform(
+            F.filter("names", lambda p, i: (i == 0) | (F.get("names", i - 1)["value"] != p["value"])),
+            lambda p: F.struct(p["value"], p["surrogate"]),
+        )).alias(row + "b"),
     )
-    joined = marked.join(maps.select(F.col("row").alias(row), F.col("table").alias(row + "t")), row)
+    joined = marked.join(maps, row)
+    bare, cut = F.col(row + "b"), r"(?<=[\p{L}\d])(?![\p{L}\d])|(?<![\p{L}\d])(?=[\p{L}\d])"
 
     def new(match: Column) -> Column:
         head = F.regexp_extract(match["match"], rf"^{_TITLE}\.? ", 0)
@@ -234,9 +283,19 @@ def replaced(documents: DataFrame, key: str, count: str | None = None) -> DataFr
         )
         return F.when(match["parts"][0]["kind"].startswith("name:"), F.concat(head, said)).otherwise(said)
 
+    def again(piece: Column) -> Column:
+        return F.array_join(F.transform(F.split(piece, cut, -1), lambda w: F.coalesce(F.element_at(bare, w), w)), "")
+
+    # The names of a document are replaced without a title too.
     between = F.split("text", _ANY, -1)
+    rest_of = F.when(F.size(bare) > 0, F.transform(between, again)).otherwise(between)
+    joined = joined.withColumn(row + "r", rest_of)
     text = F.array_join(
-        F.transform(between, lambda piece, i: F.concat(piece, F.when(i < F.size(hits), new(F.get(hits, i))).otherwise(""))), ""
+        F.transform(row + "r", lambda piece, i: F.concat(piece, F.when(i < F.size(hits), new(F.get(hits, i))).otherwise(""))), ""
+    )
+    repeats = F.aggregate(
+        between, F.lit(0), lambda n, piece: n + F.size(F.filter(F.split(piece, cut, -1), lambda w: F.element_at(bare, w).isNotNull()))
     )
-    tally = [] if count is None else [F.size(hits).cast("long").alias(count)]
+    repeats = F.when(F.size(bare) > 0, repeats).otherwise(0)
+    tally = [] if count is None else [(F.size(hits) + repeats).cast("long").alias(count)]
     return clean.union(joined.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in columns], *tally))

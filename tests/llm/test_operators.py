@@ -342,6 +342,25 @@ def test_surrogates_of_formats_without_others(spark):
     assert all(got[i].text.endswith(".org") for i in range(5, 15))
 
 
+def test_phones_and_names_of_all_kinds(spark):
+    phones = ["+33 1 23 45 67 89", "+49 30 1234567", "+7 (495) 123-45-67", "01 23 45 67 89", "+49 (0)30 1234567", "030 1234567", "8 (495) 123-45-67", "+442079460958"]
+    texts = [f"Call {p}, soon." for p in phones]
+    texts += ["Mr John Smith came. Smith and John spoke; Smithson didn't.", "Mrs Γεωργία Παππά", "Mr Արամ", "Mrs Anna", "Mrs Anna Lee", "Mr Lee"]
+    texts += ["On 2024-01-05 and 01.02.2024 10:30, 1 234 567 items, v1.2.3"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.replaced(frame, "k", "n").collect()}
+    for i, p in enumerate(phones):
+        assert got[i].n == 1 and p not in got[i].text and got[i].text.endswith(", soon."), p
+    at = len(phones)
+    words = got[at].text.replace(".", "").split()
+    assert got[at].n == 3 and words[1:3] == [words[6], words[4]] and words[1] != "John" and "Smithson" in words
+    assert all("Ͱ" <= c <= "Ͽ" for c in got[at + 1].text[4:].replace(" ", "").lower())
+    assert all("\u0530" <= c <= "\u058f" for c in got[at + 2].text[3:]) and got[at + 2].text.endswith("րոն")
+    assert got[at + 3].text.endswith("na") and got[at + 4].text.split()[1] == got[at + 3].text.split()[1]
+    assert got[at + 5].text.split()[1] == got[at + 4].text.split()[2]
+    assert got[at + 6].n == 0
+
+
 # 9. Packing
 
 def _encoder():
