@@ -78,6 +78,23 @@ def test_chat_round_trip(spark):
     assert chat.examples(frame.where("false")).collect() == []
 
 
+def test_chat_with_a_long_conversation(spark):
+    n = 12_000
+    body = "concat(repeat('<\\\\', 30), repeat('x', 40), id)"
+    turns = spark.range(n).selectExpr("1L as conv_id", "id as turn", "if(id % 2 = 1, 'assistant', 'user') as role", f"{body} as text")
+    sizes = [14 + len(("user", "assistant")[i % 2]) + 120 + 40 + len(str(i)) for i in range(n)]
+    ends = np.cumsum(sizes)
+    got = chat.read_back(chat.conversations(turns)).first()
+    assert (got.n_turns, got.formatted_chars) == (n, int(ends[1::2].sum()))
+    said = "".join("<\\" * 30 + "x" * 40 + str(i) for i in range(1, n, 2))
+    assert (got.loss_chars, got.loss_sha256) == (len(said), brute.sha(said))
+    made = chat.examples(turns).where("number in (0, 1, 50)").orderBy("number").collect()
+    assert [len(m.text) for m in made] == [int(ends[i]) for i in (1, 3, 101)]
+    for m, i in zip(made, (1, 3, 101)):
+        assert chat.ESCAPES[1][1] * 1 in m.text and m.text[m.loss_start + m.loss_length :] == chat.END
+        assert m.text[m.loss_start :].startswith("\\l\\\\") and m.text[m.loss_start - 1] == chat.CLOSE
+
+
 # 3. Repeated passages
 
 def test_repeats_against_brute_force(spark, odd_documents, no_documents):
