@@ -115,8 +115,8 @@ class Model:
         totals = np.add.reduceat(scores, begin, axis=1)
         best = totals.argmax(axis=0)
         path = np.repeat(best, sizes)
-        # Leaving the best single language for a span must gain the penalty at least;
-        # where no span gains that much over it, the path is that language alone.
+        # A path of m spans in other languages has m - 1 switches at least, and m >= 2 if it
+        # has no more; where no span gains half a penalty, the best language alone is the path.
         text = np.repeat(np.arange(sizes.size), sizes)
         own = scores[path, np.arange(path.size)]
         gain = np.zeros(sizes.size)
@@ -128,7 +128,7 @@ class Model:
             step = 2 * max(np.abs(total).max(), np.abs(before).max()) + 1
             least = np.minimum.accumulate(before - text * step) + text * step
             gain = np.maximum(gain, np.maximum.reduceat(total - least, begin))
-        for at in np.flatnonzero(gain > SWITCH):
+        for at in np.flatnonzero(gain > SWITCH / 2):
             path[begin[at] : ends[at]] = self._viterbi(scores[:, begin[at] : ends[at]])
         return path
 

@@ -245,6 +245,12 @@ def test_skipped_search_is_the_best_path():
         at += n
 
 
+def test_search_where_one_switch_joins_two_other_languages():
+    model = language.Model({"a": [(1, 1)], "b": [(2, 1)], "c": [(3, 1)]})
+    scores = np.array([[0.0, 0.0], [10.0, -20.0], [-20.0, 10.0]])
+    assert model.paths(scores, np.array([2])).tolist() == [1, 2]
+
+
 def test_stage_keeps_documents_without_labels(spark, odd_documents):
     unlabelled = odd_documents.selectExpr("* except (lang)", "cast(null as string) as lang")
     kept = pipeline.language_id(spark, unlabelled, FOLDER)
