@@ -1,140 +1,193 @@
 """Documents scored by cross-entropy difference of two n-gram models.
 
-Tokens are characters. Both models share one vocabulary, the most frequent
-characters of the background and one symbol for all others, so that a model is a
-table of fixed size whatever the corpus. Target and background have the same order
-and smoothing; a document's score is the mean difference of the two losses per token.
+Tokens are words and single other signs, or characters. Both models share one
+vocabulary, every token of all texts, and have the same order and smoothing. Their
+counts, probabilities and the documents' own n-grams are distributed tables keyed by
+64-bit hashes of n-grams; a document's score is the mean difference of the two losses
+per token.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import _by_size, extend, map_rows
+from clinloom.llm.common import _by_size, fresh_name, map_rows, utf8, written
 
 ORDER = 4
-SYMBOLS = 48  # the start of a text, any other character and the most frequent ones
+SYMBOLS = 48  # the fewest tokens over which the shortest context is spread
 PRIOR = 5.0  # weight, in tokens, of the shorter context in a longer one's distribution
-_START, _OTHER = 0, 1
-_POINTS = 0x110000
-
-
-def _points(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-
-
-def _count_points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen = np.zeros(_POINTS, np.int64)
-    for batch in batches:
-        for part in _by_size(batch, 0):
-            seen += np.bincount(_points("".join(t or "" for t in part.column(0).to_pylist())), minlength=_POINTS)
-    filled = np.flatnonzero(seen)
-    yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(seen[filled])], ["point", "n"])
-
-
-def vocabulary(background: DataFrame) -> list[int]:
-    """The code points with a symbol of their own: the most frequent of all texts, ties to the smaller."""
-    counted = map_rows(background, ["text"], "point long, n long", _count_points).groupBy("point").agg(F.sum("n").alias("n"))
-    return [r["point"] for r in counted.orderBy(F.desc("n"), "point").limit(SYMBOLS - 2).collect()]
+_ROWS_AT_ONCE = 1 << 20  # of memory only: distinct n-grams a task holds before it passes them on
+_WORD = re.compile(r"\w+|[^\w\s]")
+_SALT = 0x9E3779B97F4A7C15
+
+
+def words(text: str) -> list[str]:
+    return _WORD.findall(text.lower())
+
+
+def characters(text: str) -> list[str]:
+    return list(text.lower())
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def _hashes(texts: list[str], split: Callable[[str], list[str]], order: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Of each token of the texts: hashes of the 1- to ``order``-grams that end there and of their contexts, and its text."""
+    known: dict[str, int] = {}
+    flat, sizes = [], []
+    for text in texts:
+        tokens = split(text)
+        flat += [0] * (order - 1)
+        for token in tokens:
+            found = known.get(token)
+            if found is None:
+                known[token] = found = xxhash.xxh64_intdigest(utf8(token), 42) or 1
+            flat.append(found)
+        sizes.append(len(tokens))
+    values = np.array(flat, np.uint64)
+    sizes = np.array(sizes, np.int64)
+    number = np.repeat(np.arange(sizes.size), sizes)
+    at = np.arange(number.size) + (number + 1) * (order - 1)
+    grams, contexts = [], []
+    gram, context = np.zeros(at.size, np.uint64), np.zeros(at.size, np.uint64)
+    for k in range(order):
+        part = _mixed(values[at - k] + np.uint64((k + 1) * _SALT & (1 << 64) - 1))
+        gram = gram + part
+        if k:
+            context = context + part
+        contexts.append(_mixed(context + np.uint64(order + k + 1)).view(np.int64))
+        grams.append(_mixed(gram + np.uint64(k + 1)).view(np.int64))
+    return grams, contexts, number
+
+
+def _count(split: Callable, order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Distinct n-grams of a task's texts (text, target, background) with their shorter ones, contexts and counts."""
+    names = [*[f"g{k}" for k in range(order, 0, -1)], *[f"c{k}" for k in range(order, 1, -1)], "t", "b"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
 
-def _symbols(points: list[int]) -> np.ndarray:
-    table = np.full(_POINTS, _OTHER, np.uint8)
-    table[points] = np.arange(2, 2 + len(points))
-    return table
+        def distinct() -> list[np.ndarray]:
+            columns = [np.concatenate(c) for c in zip(*held)]
+            order_of = np.argsort(columns[0], kind="stable")
+            first = np.flatnonzero(np.diff(columns[0][order_of], prepend=columns[0][order_of[0]] - 1))
+            return [*[c[order_of][first] for c in columns[:-2]], *[np.add.reduceat(c[order_of], first) for c in columns[-2:]]]
 
+        size = 0
+        for batch in batches:
+            for part in _by_size(batch, 0):
+                grams, contexts, number = _hashes([t or "" for t in part.column(0).to_pylist()], split, order)
+                if number.size:
+                    flags = [part.column(i).to_numpy(zero_copy_only=False).astype(np.int64)[number] for i in (1, 2)]
+                    held.append([*grams[::-1], *contexts[:0:-1], *flags])
+                    size += number.size
+                if size > _ROWS_AT_ONCE * 2:
+                    held[:] = [distinct()]
+                    size = held[0][0].size
+                    if size > _ROWS_AT_ONCE:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held.pop()], names)
+                        size = 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in distinct()], names)
 
-def _grams(texts: list[str], table: np.ndarray) -> np.ndarray:
-    """The n-gram that ends at each character of the texts, one text after another."""
-    before = ORDER - 1
-    flat = table[_points(("\0" * before).join(["", *texts]))].astype(np.int64)
-    sizes = np.array([len(t.lower()) for t in texts], np.int64)
-    inside = np.ones(flat.size, bool)
-    at = np.cumsum(sizes + before) - sizes - before
-    for i in range(before):
-        flat[at + i] = _START
-        inside[at + i] = False
-    gram = np.zeros(flat.size, np.int64)
-    for i in range(ORDER):
-        gram[before:] += flat[before - i : flat.size - i] * SYMBOLS**i
-    return gram[inside]
+    return run
 
 
-def _count_grams(points: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _own_grams(split: Callable, order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = _symbols(points), np.zeros(SYMBOLS**ORDER, np.int64)
         for batch in batches:
-            for part in _by_size(batch, 0):
-                texts = [t for t in part.column(0).to_pylist() if t]
-                if texts:
-                    seen += np.bincount(_grams(texts, table), minlength=seen.size)
-        filled = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(seen[filled])], ["gram", "n"])
+            for part in _by_size(batch, 1):
+                grams, _, number = _hashes([t or "" for t in part.column(1).to_pylist()], split, order)
+                if not number.size:
+                    continue
+                by = np.lexsort((grams[-1], number))
+                gram, number = grams[-1][by], number[by]
+                new = np.append(True, (np.diff(gram) != 0) | (np.diff(number) != 0))
+                first = np.flatnonzero(new)
+                n = np.diff(np.append(first, number.size))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(number[first])), pa.array(gram[first]), pa.array(n)], ["row", "gram", "n"]
+                )
 
     return run
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = [pa.array([c.to_numpy(zero_copy_only=False).astype(np.int64).tobytes()], pa.binary()) for c in batch.columns]
-        yield pa.RecordBatch.from_arrays(columns, ["gram", "n"])
-
-
-def losses(texts: DataFrame, points: list[int]) -> np.ndarray:
-    """Loss (nats) of every n-gram's last symbol under the model of all ``texts``.
+def losses(counted: DataFrame, order: int) -> DataFrame:
+    """(g, target, background): the loss (nats) of each n-gram's last token under both models.
 
-    Each context's distribution is smoothed by that of the context one symbol shorter.
+    ``counted`` has the n-grams of all levels and contexts (g1.., c2..) with counts t and
+    b. Each context's distribution is smoothed by that of the context one token shorter.
     """
-    counted = map_rows(texts, ["text"], "gram long, n long", _count_grams(points)).groupBy("gram").agg(F.sum("n").alias("n"))
-    counts = np.zeros(SYMBOLS**ORDER)
-    for row in counted.mapInArrow(_packed, "gram binary, n binary").toLocalIterator():
-        counts[np.frombuffer(row["gram"], np.int64)] = np.frombuffer(row["n"], np.int64)
-    levels = [counts.reshape(-1, SYMBOLS)]
-    for _ in range(ORDER - 1):  # counts of shorter contexts: the first symbol summed out
-        levels.append(levels[-1].reshape(SYMBOLS, -1).sum(axis=0).reshape(-1, SYMBOLS))
-    shorter = np.full((1, SYMBOLS), 1.0 / SYMBOLS)
-    for level in reversed(levels):
-        below = np.tile(shorter, (level.shape[0] // shorter.shape[0], 1))
-        shorter = (level + PRIOR * below) / (level.sum(axis=1, keepdims=True) + PRIOR)
-    return -np.log(shorter).reshape(-1).astype(np.float32)
-
-
-def _score(load: Callable[[], tuple]) -> Callable[[list[str | None]], list[pa.Array]]:
-    held: list = []
-
-    def score(texts: list[str | None]) -> list[pa.Array]:
-        if not held:
-            points, target, background = load()
-            held.extend([_symbols(points), np.frombuffer(target, np.float32), np.frombuffer(background, np.float32)])
-        table, target, background = held
-        counts, columns = [], ([], [])
-        for text in texts:
-            gram = _grams([text], table) if text else np.zeros(0, np.int64)
-            counts.append(gram.size)
-            for column, loss in zip(columns, (target, background)):
-                column.append(float(loss[gram].mean(dtype=np.float64)) if gram.size else None)
-        difference = [None if t is None else t - b for t, b in zip(*columns)]
-        return [pa.array(counts, pa.int64()), *[pa.array(c, pa.float64()) for c in (*columns, difference)]]
-
-    return score
-
-
-def scored(documents: DataFrame, target: DataFrame, background: DataFrame, keep: list[str]) -> DataFrame:
+    shorter = None
+    for k in range(1, order + 1):
+        least = ["g%d" % (k - 1), f"c{k}"] if k > 1 else []
+        level = counted.groupBy(f"g{k}").agg(*[F.first(c).alias(c) for c in least], F.sum("t").alias("t"), F.sum("b").alias("b"))
+        if k == 1:
+            level = written(level)
+            size, t, b = level.agg(F.count("*"), F.sum("t"), F.sum("b")).first()
+            even = 1.0 / max(SYMBOLS, size + 2)
+            level = level.select("*", *[F.lit(x).alias(c) for c, x in (("all_t", t or 0), ("all_b", b or 0), ("p", even), ("q", even))])
+        else:
+            context = level.groupBy(f"c{k}").agg(F.sum("t").alias("all_t"), F.sum("b").alias("all_b"))
+            level = level.join(context, f"c{k}").join(shorter, f"g{k - 1}")
+        shorter = written(level.select(
+            f"g{k}",
+            ((F.col("t") + PRIOR * F.col("p")) / (F.col("all_t") + PRIOR)).alias("p"),
+            ((F.col("b") + PRIOR * F.col("q")) / (F.col("all_b") + PRIOR)).alias("q"),
+        ))
+    return shorter.select(F.col(f"g{order}").alias("gram"), (-F.log("p")).alias("target"), (-F.log("q")).alias("background"))
+
+
+def scored(
+    documents: DataFrame, target: DataFrame, background: DataFrame, keep: list[str],
+    split: Callable[[str], list[str]] = characters, order: int = ORDER,
+) -> DataFrame:
     """The ``keep`` columns of ``documents`` with n_tokens, target_loss, background_loss and score.
 
-    ``score`` is target_loss less background_loss, nats per character: the lower, the
+    ``score`` is target_loss less background_loss, nats per token: the lower, the
     more like the target. The models learn from all texts of ``target`` and
     ``background``; one without texts is uniform. A null or empty text has no tokens and
-    null losses. Rows stay as they are, an empty table gives no rows. The driver holds
-    tables of 48 ** 4 numbers, and so does a task.
+    null losses. Rows stay as they are, an empty table gives no rows. ``split`` makes
+    tokens (``characters`` or ``words``) and ``order`` is the length of the n-grams; the
+    vocabulary has every token of all three tables. The driver gets three numbers.
     """
-    points = vocabulary(background)
-    tables = (points, losses(target, points).tobytes(), losses(background, points).tobytes())
-    shared = documents.sparkSession.sparkContext.broadcast(tables)
-    added = "n_tokens long, target_loss double, background_loss double, score double"
-    return extend(documents, "text", keep, added, _score(lambda: shared.value))
+    learned = [(background, 0, 1), (target, 1, 0)]
+    if documents is not background:  # n-grams of theirs that no model has seen
+        learned.append((documents, 0, 0))
+    texts = None
+    for frame, t, b in learned:
+        part = frame.select("text", F.lit(t).alias("t"), F.lit(b).alias("b"))
+        texts = part if texts is None else texts.union(part)
+    levels = [*[f"g{k}" for k in range(order, 0, -1)], *[f"c{k}" for k in range(order, 1, -1)]]
+    schema = ", ".join(f"{c} long" for c in [*levels, "t", "b"])
+    counted = written(
+        map_rows(texts, ["text", "t", "b"], schema, _count(split, order)).groupBy(f"g{order}")
+        .agg(*[F.first(c).alias(c) for c in levels[1:]], F.sum("t").alias("t"), F.sum("b").alias("b"))
+    )
+    table = losses(counted, order)
+    row = fresh_name(documents, "__row")
+    numbered = written(documents.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])]).withColumn(row, F.monotonically_increasing_id()))
+    own = map_rows(numbered, [row, "text"], "row long, gram long, n long", _own_grams(split, order))
+    n = F.col("n")
+    # A common n-gram is one row of ``table``, so Spark can cut its other side's rows apart.
+    sums = own.join(table, "gram").groupBy("row").agg(
+        F.sum(n).alias("n"), F.sum(n * F.col("target")).alias("t"), F.sum(n * F.col("background")).alias("b")
+    )
+    found = numbered.select(*[F.col(f"`{c}`").alias(f"__keep{i}") for i, c in enumerate(keep)], F.col(row).alias("row")).join(sums, "row", "left")
+    return found.select(
+        *[F.col(f"__keep{i}").alias(c) for i, c in enumerate(keep)],
+        F.coalesce("n", F.lit(0)).cast("long").alias("n_tokens"),
+        (F.col("t") / n).alias("target_loss"), (F.col("b") / n).alias("background_loss"),
+        (F.col("t") / n - F.col("b") / n).alias("score"),
+    )

@@ -84,7 +84,7 @@ def _decontamination(t):
 def _lm_score(t):
     documents = t.documents.select("doc_id", "text")
     wanted = t.labels.where("quality = 1 and toxic = 0").select("doc_id")
-    return lm_score.scored(documents, documents.join(wanted, "doc_id", "left_semi"), documents, ["doc_id"])
+    return lm_score.scored(documents, documents.join(wanted, "doc_id", "left_semi"), documents, ["doc_id"], lm_score.words, order=3)
 
 
 @query("op6_language_id")

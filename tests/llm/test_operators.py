@@ -203,6 +203,24 @@ def test_scores_follow_the_models(spark, odd_documents, no_documents):
     assert lm_score.scored(no_documents, no_documents, no_documents, ["doc_id"]).collect() == []
 
 
+def test_scores_tell_rare_characters_apart(spark):
+    random.seed(5)
+    letters = [chr(0x4E00 + i) for i in range(400)]
+    texts = [(i, " ".join("".join(random.choices(letters[i % 2 * 200 :][:200], k=2)) for _ in range(200))) for i in range(20)]
+    texts.append((20, "the old house " * 4000))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    target = frame.where("doc_id % 2 = 0 and doc_id < 10")
+    for split in (lm_score.characters, lm_score.words):
+        got = {r.doc_id: r for r in lm_score.scored(frame, target, frame, ["doc_id"], split, 3).collect()}
+        # Texts of the target's letters that it doesn't hold itself
+        if split is lm_score.characters:
+            assert max(got[i].score for i in range(10, 20, 2)) < min(got[i].score for i in range(11, 20, 2))
+            assert len({round(got[i].score, 9) for i in range(20)}) == 20
+        assert got[0].n_tokens == len(split(texts[0][1]))
+    other = lm_score.scored(frame.where("doc_id = 1"), target, frame.where("doc_id = 0"), ["doc_id"], lm_score.words, 3).first()
+    assert other.n_tokens == 200 and other.target_loss > 0
+
+
 # 6. Language identification
 
 def test_languages_of_held_out_texts(spark, documents):
