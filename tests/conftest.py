@@ -43,9 +43,3 @@ def bundle_of(spark):
         return spark.createDataFrame(rows, "doc_id bigint, json string")
 
     return make
-
-
-def rows_of(df, *columns):
-    """Rows as a sorted list of tuples, for order-free comparison."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -6,7 +6,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows_of
+from plain import rows_of
 from sample import CLAIM
 
 from clinloom.functions.scalars import is_json_document

@@ -7,7 +7,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows_of
+from plain import rows_of
 from sample import BUNDLE, CLAIM, ENCOUNTER, MEDICATION, ORGANIZATION, PATIENT, PRACTITIONER
 
 from clinloom.operators.keys import assign_surrogate_key, first_per_key, not_first_per_key

@@ -6,7 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import rows_of
+from plain import rows_of
 
 from clinloom.plans import marts
 

@@ -7,7 +7,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import rows_of
+from plain import rows_of
 from sample import BUNDLE, CLAIM, ENCOUNTER, MEDICATION, PATIENT, PRACTITIONER
 
 from clinloom.operators.resources import (
