@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, decontaminate, language, lm_score, packing, pii, repeats, simhash, token_count, topk
+from clinloom.llm import chat, decontaminate, language, lm_score, packing, pii, repeats, simhash, token_count, token_ids, topk
+from clinloom.llm.common import work_folder
 from clinloom.workload.registry import query
 
 
@@ -123,3 +124,12 @@ def _packing(t):
 @query("op10_token_count")
 def _token_count(t):
     return token_count.token_counts(t.documents, public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@query("op12_token_ids")
+def _token_ids(t):
+    folder = work_folder(t.spark)
+    token_ids.write(t.documents, folder, token_ids.encoder(public_tokenizers.path("word_bpe_49k.json"), end=1))
+    return token_ids.read(t.spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
