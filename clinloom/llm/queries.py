@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, decontaminate, language, lm_score, packing, pii, repeats, simhash, token_count, token_ids, topk
+from clinloom.llm import chat, decontaminate, hard_negatives, language, lm_score, packing, pii, repeats, simhash, token_count, token_ids, topk
 from clinloom.llm.common import work_folder
 from clinloom.workload.registry import query
 
@@ -133,3 +133,31 @@ def _token_ids(t):
     return token_ids.read(t.spark, folder).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query("op13_hard_negatives", """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS c
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+            CAST(list_dot_product(a.c, v.c) AS BIGINT) AS score
+        FROM v AS a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id
+    ), p AS (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same
+    ), n AS (
+        SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id,
+            s.score AS negative_score,
+            row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS place
+        FROM p JOIN s ON p.place <= 5 AND p.anchor_id = s.anchor_id AND NOT s.same
+            AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score
+    )
+    SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM n WHERE place <= 10
+""")
+def _hard_negatives(t):
+    rows = t.embeddings.withColumn("label", F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)"))
+    return hard_negatives.mined(rows, F.expr("vec_id % 100 = 0"), positives=5, negatives=10, window=(30, 90, 100))
