@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clinloom.llm import chat, decontaminate, hard_negatives, language, lm_score, packing, pii, repeats, simhash, token_count, token_ids, topk
+from clinloom.llm import chat, decontaminate, hard_negatives, language, lm_score, packing, pii, repeats, simhash, spelling, token_count, token_ids, topk
 from clinloom.llm.common import work_folder
 from clinloom.workload.registry import query
 
@@ -126,6 +126,11 @@ def _token_count(t):
     return token_count.token_counts(t.documents, public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+@query("op11_spelling_variants")
+def _spelling_variants(t):
+    return spelling.variants(spelling.words(t.documents))
+
+
 @query("op12_token_ids")
 def _token_ids(t):
     folder = work_folder(t.spark)
