@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinloom.llm import decontaminate, language, minhash, packing, pii
+from clinloom.llm import decontaminate, language, packing, pii, simhash
 from clinloom.llm.common import fresh_name, written
 
 SURROGATE_KEY = "clinloom"  # a production run replaces it by a secret of its own
@@ -40,11 +40,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the first in the table of near copies: five-word shingles at least 0.8 similar."""
+    """Keeps the first in the table of each group of near copies: fingerprints linked at three or fewer bits."""
     row = fresh_name(docs, "__row")
     numbered = written(docs.withColumn(row, F.monotonically_increasing_id()))
-    first = minhash.kept(numbered.select(F.col(row).alias("id"), "text"))
-    return numbered.join(first.select(F.col("id").alias(row)), row, "left_semi").drop(row)
+    found = simhash.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"))
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias(row))
+    return numbered.join(first, row, "left_semi").drop(row)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
