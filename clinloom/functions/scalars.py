@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 # The reference prefix of bundle-local ids, and the money type.
 URN_PREFIX = "urn:uuid:"
 MONEY = "decimal(19,4)"
+# Options of the JSON parser as SQL text: strings of any length, where its default is 20 million.
+ANY_LENGTH = "'maxStringLen', '2147483647'"
+_LONG_TEXTS = {"maxStringLen": "2147483647"}
 
 
 def as_column(value: Column | str) -> Column:
@@ -94,9 +97,10 @@ def is_json_document(value: Column | str) -> Column:
     """
     text = as_column(value)
     opens = F.substring(F.ltrim(text, F.lit(" \t\r\n")), 1, 1).isin("{", "[")
-    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "ARRAY<STRING>")
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "ARRAY<STRING>", _LONG_TEXTS)
     held = F.from_json(
-        F.concat(F.lit('{"d":'), text, F.lit("}")), "d STRING, _c STRING", {"columnNameOfCorruptRecord": "_c"}
+        F.concat(F.lit('{"d":'), text, F.lit("}")), "d STRING, _c STRING",
+        {"columnNameOfCorruptRecord": "_c", **_LONG_TEXTS},
     )
     return F.coalesce(opens & (F.size(listed) == 1) & held["_c"].isNull() & held["d"].isNotNull(), F.lit(False))
 

@@ -1,12 +1,11 @@
 """Shredding of nested JSON documents into rows.
 
-A resource is parsed **once**, by one ``from_json`` with the nested schema of
-the fields an extractor needs; levels are then struct access and explodes, and
-every scalar is pulled out at its own level, so a fan-out copies flat columns
-only. Resources whose nodes have another kind than the schema says (an object
-where an array is usual, or the reverse) are flagged by the parser itself; only
-those are read level by level, so that an object still gives one row and an
-array one row per element.
+A document is parsed **once**, into one VARIANT per resource. An extractor's nested
+schema of the fields it needs is then a cast of that VARIANT; levels are outer
+explodes, and every scalar is pulled out at its own level, so a fan-out copies flat
+columns only. Where a node has another kind than the schema says (an object where an
+array is usual, or the reverse) an object still gives one row and an array one
+row per element, read from the same VARIANT.
 
 Expressions are written as SQL text: a wide resource is some hundred of them,
 and one ``selectExpr`` per level keeps plan building short.
@@ -14,16 +13,17 @@ and one ``selectExpr`` per level keeps plan building short.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinloom.functions.scalars import ANY_LENGTH
+from clinloom.session import ensure_json_settings
+
 _TEXT = T.StringType()
 # Field the JSON parser fills with the text when a node did not fit the schema.
 _MISFIT = "_misfit"
 
-ENTRY = "fullUrl STRING, resource STRING"
-
 
 # --- schema building blocks -------------------------------------------------
 
@@ -76,54 +76,42 @@ def coding(*names: str) -> T.StructField:
 def explode_entries(docs: DataFrame, *types: str, json: str = "json") -> DataFrame:
     """One row per bundle entry: all other columns, fullUrl, resourceType, resource.
 
-    ``resource`` stays JSON text. With ``types`` only those resource types are
-    kept; without, a document that has no entries gives one row of NULLs.
+    ``resource`` is VARIANT: numbers keep their digits, of repeated keys the last counts. With
+    ``types`` only those resource types are kept; without, a document that has no
+    entries gives one row of NULLs.
     """
+    ensure_json_settings(docs.sparkSession)
     keep = [c for c in docs.columns if c != json]
-    # As VARIANT a resource keeps its numbers digit by digit; it can't hold
-    # repeated keys, so documents with such are read as text.
-    exact = F.from_json(
-        json, f"entry ARRAY<STRUCT<fullUrl: VARIANT, resource: VARIANT>>, {_MISFIT} STRING",
-        {"columnNameOfCorruptRecord": _MISFIT},
-    )
-    kept = F.expr(
-        f"CASE WHEN _exact.{_MISFIT} IS NULL THEN transform(_exact.entry,"
-        f" e -> named_struct('fullUrl', {_scalar('e.fullUrl')}, 'resource', to_json(e.resource))) END"
+    options = f"map('columnNameOfCorruptRecord', '{_MISFIT}', {ANY_LENGTH})"
+    usual = f"from_json(`{json}`, 'entry ARRAY<STRUCT<fullUrl: VARIANT, resource: VARIANT>>, {_MISFIT} STRING', {options})"
+    entries = docs.selectExpr(*map(_quoted, docs.columns), f"{usual} AS _usual").selectExpr(
+        *map(_quoted, keep),
+        f"inline_outer(CASE WHEN _usual.{_MISFIT} IS NULL THEN _usual.entry ELSE {_unusual_entries(json)} END)"
+        " AS (_url, resource)",
     )
-    usual = F.from_json(json, f"entry ARRAY<STRUCT<{ENTRY}>>")["entry"]
-    entries = docs.select(*keep, json, exact.alias("_exact")).select(
-        *keep,
-        F.inline_outer(F.coalesce(kept, usual, _unusual_entries(F.col(json)))).alias("fullUrl", "resource"),
+    found = entries.selectExpr(
+        *map(_quoted, keep), f"{_scalar('_url')} AS fullUrl", f"{_scalar(_get('resource', '.resourceType'))} AS resourceType", "resource"
     )
-    if types:
-        # A plain substring test settles most entries before any JSON is read.
-        named = F.lit(False)
-        for t in types:
-            named = named | F.col("resource").contains(f'"{t}"')
-        entries = entries.filter(named)
-    peeked = entries.withColumn("_type", F.expr(_scalar("from_json(resource, 'resourceType VARIANT').resourceType")))
-    if types:
-        peeked = peeked.filter(F.col("_type").isin(*types))
-    kind = F.lit(types[0]) if len(types) == 1 else F.col("_type")
-    return peeked.select(*keep, "fullUrl", kind.alias("resourceType"), "resource")
-
-
-def _unusual_entries(text: Column) -> Column:
+    return of_type(found, *types) if types else found
+
+
+def _unusual_entries(json: str) -> str:
     """Entries of a root array of bundles, or of an ``entry`` that is one object."""
-    roots = F.from_json(text, "ARRAY<STRUCT<entry: STRING>>")
-    lists = F.transform(roots, lambda r: F.from_json(r["entry"], f"ARRAY<STRUCT<{ENTRY}>>"))
-    return F.flatten(F.filter(lists, lambda a: a.isNotNull()))
+    bundles = _elements(f"from_json(`{json}`, 'VARIANT', map({ANY_LENGTH}))", "d")
+    fields = ", ".join(f"'{f}', {_get('e', '.' + f)}" for f in ("fullUrl", "resource"))
+    listed = f"coalesce({_elements(_get('b', '.entry'), 'l')}, array())"
+    return f"flatten(transform({bundles}, b -> transform({listed}, e -> named_struct({fields}))))"
 
 
 def of_type(entries: DataFrame, *types: str) -> DataFrame:
     return entries.filter(F.col("resourceType").isin(*types))
 
 
-# --- resource text -> flat rows -------------------------------------------------
+# --- resource -> flat rows -------------------------------------------------------
 
 
 def tabulate(df: DataFrame, schema: T.StructType, *levels: str, text: str = "resource") -> DataFrame:
-    """Shred a JSON text column into flat columns, opening ``levels`` in order.
+    """Shred a VARIANT or JSON text column into flat columns, opening ``levels`` in order.
 
     Columns are named by their path, joined with ``_``; ``texts`` and ``items``
     give their first element. ``levels`` are dotted paths such as ``item`` or
@@ -131,46 +119,51 @@ def tabulate(df: DataFrame, schema: T.StructType, *levels: str, text: str = "res
     elements, a missing or empty one keeps the row with NULLs. Independent
     levels multiply each other.
     """
+    ensure_json_settings(df.sparkSession)
     keep = [c for c in df.columns if c != text]
-    typed = ", ".join(f"'{n}', _parsed.`{n}`" for n in schema.names)
-    variants = (
-        f"CASE WHEN _parsed.{_MISFIT} IS NULL THEN array(named_struct({typed}))"
-        f" ELSE {_objects(f'`{text}`', schema)} END"
-    )
-    parsed = df.selectExpr(
-        *map(_quoted, df.columns),
-        f"from_json(`{text}`, '{_fields(schema)}, `{_MISFIT}` STRING',"
-        f" map('columnNameOfCorruptRecord', '{_MISFIT}')) AS _parsed",
-    )
-    out, open_now = _unfold(parsed, keep, variants, schema, "")
+    if df.schema[text].dataType == _TEXT:
+        df = df.selectExpr(*map(_quoted, keep), f"from_json(`{text}`, 'VARIANT', map({ANY_LENGTH})) AS `{text}`")
+    out, open_now = _unfold(df, keep, text, schema, "")
     for level in levels:
         name = level.replace(".", "_")
-        array = open_now.pop(name)
+        element = open_now.pop(name)
         keep = [c for c in out.columns if c != name]
-        out, opened = _unfold(out, keep, _quoted(name), array, name + "_")
+        out, opened = _unfold(out, keep, name, element, name + "_")
         open_now.update(opened)
     return out.drop(*open_now) if open_now else out
 
 
-def _unfold(df: DataFrame, keep: list[str], array: str, element: T.StructType, prefix: str):
-    """Explode an array of structs into flat columns; also the levels found in it."""
-    names = [f"_{i}" for i in range(len(element))]
-    wide = df.selectExpr(*map(_quoted, keep), f"inline_outer({array}) AS ({', '.join(names)})")
+def _unfold(df: DataFrame, keep: list[str], column: str, element: T.StructType, prefix: str):
+    """Open a VARIANT column: its elements as flat columns, and the levels found in them."""
+    kept, ref = list(map(_quoted, keep)), _quoted(column)
+    each = f"flatten(transform({_elements(ref, 'd')}, e -> {_combined('e', element, 0)}))"
+    if prefix:
+        typed = df.selectExpr(*kept, ref, f"{_get(ref, '', f'ARRAY<{_type(element)}>')} AS _s")
+        repeated = _repeated(element, "s", "")
+        usual = f"NOT exists(_s, s -> {' OR '.join(repeated)})" if repeated else "true"
+        usual = f"_s IS NOT NULL AND {usual}"
+        one = "_s"
+    else:
+        typed = df.selectExpr(*kept, ref, f"{_get(ref, '', _type(element))} AS _s")
+        usual = " AND ".join(["_s IS NOT NULL", *[f"NOT {t}" for t in _repeated(element, "_s", "", ref)]])
+        one = "array(_s)"
+    one = typed.selectExpr(*kept, f"explode_outer(CASE WHEN {usual} THEN {one} ELSE {each} END) AS _s")
     columns: list[str] = []
     levels: dict[str, T.StructType] = {}
-    for temp, field in zip(names, element, strict=True):
-        _flatten(field, temp, prefix + field.name, columns, levels)
-    return wide.selectExpr(*map(_quoted, keep), *columns), levels
+    for field in element:
+        _flatten(field, f"_s.`{field.name}`", prefix + field.name, columns, levels)
+    return one.selectExpr(*kept, *columns), levels
 
 
 def _flatten(field: T.StructField, ref: str, name: str, columns: list, levels: dict) -> None:
     kind = field.dataType
-    if isinstance(kind, T.ArrayType) and field.metadata.get("level"):
-        columns.append(f"{ref} AS `{name}`")
-        levels[name] = kind.elementType
-        return
     if isinstance(kind, T.ArrayType):
-        ref, kind = f"get({ref}, 0)", kind.elementType
+        if field.metadata.get("level"):
+            columns.append(f"{ref} AS `{name}`")
+            levels[name] = kind.elementType
+            return
+        kind = kind.elementType
+        ref = _get(ref, "[0]", _type(kind))
     if isinstance(kind, T.StructType):
         for f in kind:
             _flatten(f, f"{ref}.`{f.name}`", f"{name}_{f.name}", columns, levels)
@@ -190,67 +183,68 @@ def _scalar(ref: str) -> str:
     )
 
 
-# --- resources with unusual nodes -----------------------------------------------
-# All functions give SQL text. Lambda variables hold what is used more than
+# All functions below give SQL text. Lambda variables hold what is used more than
 # once: a variable is evaluated once, repeated text once per use.
 
 
-def _objects(text: str, schema: T.StructType, depth: int = 0) -> str:
-    """Read a level from its text: an object is one element, an array many."""
-    e, raw = f"e{depth}", f"r{depth}"
-    strings = ", ".join(f"`{f.name}` {'VARIANT' if f.dataType == _TEXT else 'STRING'}" for f in schema)
-    elements = (
-        f"CASE WHEN startswith({text}, '{{') THEN array({text})"
-        f" WHEN startswith({text}, '[') THEN from_json({text}, 'ARRAY<STRING>') END"
+def _get(ref: str, path: str, kind: str = "VARIANT") -> str:
+    """What lies at a path below a VARIANT; NULL where nothing does or it is of another kind."""
+    return f"try_variant_get({ref}, '${path}', '{kind}')"
+
+
+def _elements(ref: str, variable: str) -> str:
+    """The elements of a level: those of an array, an object as its only one, else NULL."""
+    return (
+        f"get(transform(array({ref}), {variable} -> coalesce({_get(variable, '', 'ARRAY<VARIANT>')},"
+        f" CASE WHEN {_get(variable, '', 'STRUCT<`_`: VARIANT>')} IS NOT NULL THEN array({variable}) END)), 0)"
     )
-    parsed = f"transform({elements}, {e} -> from_json({e}, '{strings}'))"
-    return f"flatten(transform({parsed}, {raw} -> {_variants(raw, schema, depth + 1)}))"
 
 
-def _variants(raw: str, schema: T.StructType, depth: int) -> str:
-    """All combinations of one element's object levels, as an array of structs."""
-    several = [f for f in schema if f.metadata.get("level") and isinstance(f.dataType, T.StructType)]
+def _repeated(schema: T.StructType, ref: str, path: str, raw: str | None = None) -> list[str]:
+    """Tests for nodes that may be arrays although they are usually objects: such a node is not read.
+
+    Where the VARIANT itself is at hand (``raw``) it tells arrays from nodes that are absent.
+    """
+    tests = []
+    for f in _nodes(schema):
+        below, node = f"{path}.{f.name}", f"{ref}.`{f.name}`"
+        tests.append(f"({node} IS NULL AND {_get(raw, below, 'ARRAY<VARIANT>')} IS NOT NULL)" if raw else f"({node} IS NULL)")
+        tests += _repeated(f.dataType, node, below, raw)
+    return tests
+
+
+def _combined(ref: str, schema: T.StructType, depth: int) -> str:
+    """All combinations of the elements of an object's nodes, as an array of structs."""
+    several = _nodes(schema)
     values = ", ".join(
-        f"'{f.name}', " + (f"o{depth}_{f.name}" if f in several else _single(f"{raw}.`{f.name}`", f, depth))
-        for f in schema
+        f"'{f.name}', " + (f"o{depth}_{f.name}" if f in several else _get(ref, f".{f.name}", _kind(f))) for f in schema
     )
     out = f"array(named_struct({values}))"
     for f in reversed(several):
-        found = f"f{depth}"
+        found, e = f"f{depth}", f"e{depth}"
+        listed = _elements(_get(ref, f".{f.name}"), f"d{depth}")
         options = (
-            f"flatten(transform(array({_objects(f'{raw}.`{f.name}`', f.dataType, depth + 1)}),"
-            f" {found} -> CASE WHEN size({found}) > 0 THEN {found}"
-            f" ELSE array(CAST(NULL AS {_type(f.dataType)})) END))"
+            f"flatten(transform(array(flatten(transform({listed}, {e} -> {_combined(e, f.dataType, depth + 1)}))),"
+            f" {found} -> CASE WHEN size({found}) > 0 THEN {found} ELSE array(CAST(NULL AS {_type(f.dataType)})) END))"
         )
         out = f"flatten(transform({options}, o{depth}_{f.name} -> {out}))"
     return out
 
 
-def _single(text: str, field: T.StructField, depth: int) -> str:
-    kind = field.dataType
-    if isinstance(kind, T.StringType):
-        return text
-    if isinstance(kind, T.StructType):
-        return f"CASE WHEN startswith({text}, '{{') THEN get({_objects(text, kind, depth)}, 0) END"
-    if isinstance(kind.elementType, T.StringType):
-        return f"CASE WHEN startswith({text}, '[') THEN from_json({text}, 'ARRAY<VARIANT>') END"
-    found = _objects(text, kind.elementType, depth)
-    if field.metadata.get("level"):
-        return found
-    return f"CASE WHEN startswith({text}, '[') THEN {found} END"
+def _nodes(schema: T.StructType) -> list[T.StructField]:
+    return [f for f in schema if f.metadata.get("level") and isinstance(f.dataType, T.StructType)]
 
 
 def _quoted(name: str) -> str:
     return f"`{name}`"
 
 
-def _fields(schema: T.StructType, colon: str = "") -> str:
-    return ", ".join(f"`{f.name}`{colon} {_type(f.dataType)}" for f in schema)
-
-
 def _type(kind: T.DataType) -> str:
+    """What an element is cast to: its objects; arrays and scalars stay VARIANT."""
     if isinstance(kind, T.StructType):
-        return f"STRUCT<{_fields(kind, ':')}>"
-    if isinstance(kind, T.ArrayType):
-        return f"ARRAY<{_type(kind.elementType)}>"
+        return "STRUCT<" + ", ".join(f"`{f.name}`: {_kind(f)}" for f in kind) + ">"
     return "VARIANT"
+
+
+def _kind(field: T.StructField) -> str:
+    return "VARIANT" if isinstance(field.dataType, T.ArrayType) else _type(field.dataType)

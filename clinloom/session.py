@@ -12,8 +12,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Shredding costs far more than its input has bytes: small inputs still go to all cores.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.aggregatePushdown": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -43,3 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="clinloom-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+
+
+def ensure_json_settings(spark: SparkSession) -> None:
+    """Let JSON objects repeat a key, of which the last counts, also in sessions made elsewhere."""
+    key = "spark.sql.variant.allowDuplicateKeys"
+    if spark.conf.get(key) != SETTINGS[key]:
+        spark.conf.set(key, SETTINGS[key])

@@ -154,7 +154,7 @@ TABLES = {
     ),
     # The documents' entries, parsed once; each extractor reads its own partition.
     "bundle_entries": Table(
-        """doc_id BIGINT, file_path STRING, fullUrl STRING, resource STRING, import_date DATE,
+        """doc_id BIGINT, file_path STRING, fullUrl STRING, resource VARIANT, import_date DATE,
         resourceType STRING""",
         partition_by=("import_date", "resourceType"),
     ),

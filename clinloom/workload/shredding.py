@@ -177,6 +177,6 @@ def entries_by_type(t: Tables):
     """All entries of all documents, with the type read ahead of the resource."""
     docs = bundles.documents(t.orders, "o_orderkey", bundles.entry("o_orderkey", "Encounter", x="o_orderstatus"))
     return explode_entries(docs).select(
-        "doc_id", "fullUrl", "resourceType", F.get_json_object("resource", "$.x").alias("x"),
-        F.get_json_object("resource", "$.status").alias("status"),
+        "doc_id", "fullUrl", "resourceType", F.try_variant_get("resource", "$.x", "string").alias("x"),
+        F.try_variant_get("resource", "$.status", "string").alias("status"),
     )

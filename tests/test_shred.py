@@ -16,6 +16,7 @@ from clinloom.operators.resources import (
     extract_person, extract_practitioner,
 )
 from clinloom.operators.resources.claim import claim_rows
+from clinloom.functions.scalars import is_json_document
 from clinloom.operators.shred import explode_entries, leaf, node, rows, shape, tabulate
 
 
@@ -209,3 +210,20 @@ def test_care_plan_chain(bundle_of):
         "careTeamID", "activityDetailStatus", "activityDetailText", "activityCodingCode",
     )
     assert got == sorted([("t1", "on", "T", "1"), ("t1", "on", "T", "2"), ("t1", "off", None, None)], key=repr)
+
+
+def test_strings_of_any_length(spark):
+    long = "concat('{\"entry\":[{\"fullUrl\":\"urn:uuid:c\",\"resource\":{\"resourceType\":\"Claim\",\"status\":\"', repeat('x', 25000000), '\",\"use\":\"claim\"}}]}')"
+    docs = spark.range(1).selectExpr("id AS doc_id", f"{long} AS json")
+    assert docs.select(is_json_document("json")).first()[0]
+    entries = explode_entries(docs)
+    assert rows_of(entries, "fullUrl", "resourceType") == [("urn:uuid:c", "Claim")]
+    row = claim_rows(entries).selectExpr("claimId", "length(claimStatus) AS n", "claimUse").first()
+    assert tuple(row) == ("c", 25_000_000, "claim")
+
+
+def test_repeated_keys_and_exact_numbers_in_unusual_nodes(spark):
+    text = '{"a":{"v":1,"v":12345678901234567890.1234567890},"o":[{"w":0.10},{"w":"x"}]}'
+    df = spark.createDataFrame([(text,)], "resource string")
+    out = tabulate(df, shape(rows("a", leaf("v")), node("o", leaf("w"))), "a")
+    assert rows_of(out, "a_v", "o_w") == [("12345678901234567890.123456789", "0.1"), ("12345678901234567890.123456789", "x")]
