@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,15 +32,18 @@ from clinloom.sources.files import as_documents, list_files, read_csv, read_file
 from clinloom.sources.tables import TABLES
 from clinloom.sources.warehouse import Warehouse
 
+FILES_AT_ONCE = 10_000  # names that the driver holds and a commit takes
+
 # --- files -> documents -> entries ---------------------------------------------
 
 
 def import_json_files(wh: Warehouse, path: str, run_ts: dt.datetime | None = None) -> DataFrame:
     """Import the files below ``path``; status per file.
 
-    Files the log holds already are known by their full path. They are found by
-    the list of names; only the texts of new files are kept. Valid and rejected
-    documents are written in one pass, into separate partitions.
+    Files the log holds already are known by their full path. The folder is listed first and
+    only new files are opened, ``FILES_AT_ONCE`` of them in one commit, so an import that
+    dies goes on where it stopped. Valid and rejected documents are written in
+    one pass, into separate partitions.
     """
     run_ts = run_ts or dt.datetime.now()
     # Fixed before anything is written: the log grows during this very job.
@@ -51,36 +55,39 @@ def import_json_files(wh: Warehouse, path: str, run_ts: dt.datetime | None = Non
         ),
         "files",
     )
-    written = import_documents(wh, _new_files(read_files(wh.spark, path), listed), run_ts)
+    first_id = _next_document(wh)
+    names = (r.file_path for r in listed.filter("_known IS NULL").select("file_path").toLocalIterator())
+    while group := list(islice(names, FILES_AT_ONCE)):
+        import_documents(wh, read_files(wh.spark, path, group), run_ts)
+    written = _documents_since(wh, run_ts, first_id)
     return (
         listed.join(written.select("file_path", F.col("status").alias("_status")), "file_path", "left")
         .select("file_path", F.when(F.col("_known"), ALREADY_THERE).otherwise(F.col("_status")).alias("status"))
     )
 
 
-def _new_files(files: DataFrame, listed: DataFrame) -> DataFrame:
-    """Texts of the files not known yet.
-
-    The names are read back from a staged table, so Spark knows their size when it
-    plans the join and moves texts only if the list is too long to send around.
-    """
-    return files.join(listed.filter("_known IS NULL").select("file_path"), "file_path", "left_semi")
-
-
 def import_documents(
     wh: Warehouse, files: DataFrame, run_ts: dt.datetime, batch: str | None = None
 ) -> DataFrame:
-    """Append texts to the document log and log the rejected; path and status."""
-    first_id = (wh.read("JSONLogs").agg(F.max("doc_id")).first()[0] or 0) + 1
-    wh.append("JSONLogs", as_documents(files, run_ts, first_id, batch))
-    batch = wh.read("JSONLogs").filter(
+    """Append texts to the document log and log the rejected, in one commit; path and status."""
+    with wh.transaction():
+        first_id = _next_document(wh)
+        wh.append("JSONLogs", as_documents(files, run_ts, first_id, batch))
+        rejected = _documents_since(wh, run_ts, first_id).filter(F.col("status") == FAILED)
+        _log_errors(
+            wh, error_rows(rejected, F.col("file_path"), NOT_JSON, F.lit("the file is not a JSON object or array"))
+        )
+    return _documents_since(wh, run_ts, first_id)
+
+
+def _next_document(wh: Warehouse) -> int:
+    return (wh.last_key("JSONLogs") or 0) + 1
+
+
+def _documents_since(wh: Warehouse, run_ts: dt.datetime, first_id: int) -> DataFrame:
+    return wh.read("JSONLogs").filter(
         (F.col("import_date") == F.lit(run_ts.date())) & (F.col("doc_id") >= first_id)
     ).select("file_path", "status")
-    rejected = batch.filter(F.col("status") == FAILED)
-    _log_errors(
-        wh, error_rows(rejected, F.col("file_path"), NOT_JSON, F.lit("the file is not a JSON object or array"))
-    )
-    return batch
 
 
 def split_documents(wh: Warehouse, run_date: dt.date | None = None) -> DataFrame:
@@ -165,7 +172,8 @@ def load_resource(wh: Warehouse, name: str, run_date: dt.date | None = None) ->
     """Load one resource of a day; never raises, a failure is logged and reported."""
     spec = LOADS[name]
     try:
-        return _load(wh, spec, day_entries(wh, run_date))
+        with wh.transaction():
+            return _load(wh, spec, day_entries(wh, run_date))
     except Exception as error:  # any failure of the job belongs in the error log
         message = wh.spark.range(1).select(F.lit(str(error)).alias("m"))
         wh.append("import_error_logs", error_rows(message, spec.stage, JOB_FAILED, F.col("m")))
@@ -205,9 +213,6 @@ def _load(wh: Warehouse, spec: Load, entries: DataFrame) -> LoadReport:
 
     counts = duplicate_count(complete, known, key).first()
     n_errors = _log_errors(wh, errors)
-    # The log comes before the data: if the job dies in between, the next run
-    # still inserts the rows. The other way round it would find their keys
-    # known and never log the document.
     if spec.log_as:
         log = import_log_rows(fresh, wh.read("JSONImportLog"), spec.log_as)
         wh.append("JSONImportLog", log, ["JSONLogsId"])
@@ -275,6 +280,13 @@ def import_csv(wh: Warehouse, path: str, table: str, rename: Mapping[str, str] |
 
     A table without a declared key takes every row.
     """
+    with wh.transaction():
+        report = _csv(wh, path, table, rename)
+    wh.drop_staged()
+    return report
+
+
+def _csv(wh: Warehouse, path: str, table: str, rename: Mapping[str, str] | None) -> LoadReport:
     spec = TABLES[table]
     rows, errors = read_csv(wh.spark, path, table, rename)
     work = wh.stage(rows, table)
@@ -298,5 +310,4 @@ def import_csv(wh: Warehouse, path: str, table: str, rename: Mapping[str, str] |
     n_errors = _log_errors(wh, errors)
     n_input, n_complete, n_inserted = work.count(), complete.count(), fresh.count()
     wh.append(table, fresh, [spec.unique[0] if spec.unique else spec.required[0]], stable=True)
-    wh.drop_staged()
     return LoadReport(table, n_input, n_complete - n_inserted, n_inserted, n_errors)

@@ -27,9 +27,14 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: whole text, path and name."""
-    return describe_files(spark.read.text(path, wholetext=True))
+def read_files(spark: SparkSession, path: str, only: Iterable[str] | None = None) -> DataFrame:
+    """One row per file: whole text, path and name; of the files named in ``only`` where that is given.
+
+    The names are a condition on the files' metadata, so Spark drops the others when it lists
+    them and never opens them.
+    """
+    files = describe_files(spark.read.text(path, wholetext=True))
+    return files if only is None else files.where(F.col("file_path").isin(*only))
 
 
 def stream_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

@@ -15,6 +15,8 @@ class Table:
     ddl: str
     # Surrogate key column and its first value.
     identity: tuple[str, int] | None = None
+    # Column of ascending ids that the rows bring themselves.
+    numbers: str | None = None
     # Column filled with the load time where a row brings none.
     stamp: str | None = None
     unique: tuple[str, ...] = ()
@@ -22,6 +24,8 @@ class Table:
     # False where the rows are as wide as documents: files follow the scan's
     # partitions and no text crosses the network for the sake of file sizes.
     rebalance: bool = True
+    # True where the rows are made of another table: they are replaced by day, and no commit holds them.
+    derived: bool = False
 
     @cached_property
     def declared(self) -> T.StructType:
@@ -150,13 +154,13 @@ TABLES = {
     "JSONLogs": Table(
         """doc_id BIGINT NOT NULL, json STRING, file_path STRING, file_name VARCHAR(150),
         import_ts TIMESTAMP_NTZ, checksum STRING, batch STRING, status INT, import_date DATE""",
-        partition_by=("status", "import_date"), rebalance=False,
+        partition_by=("status", "import_date"), rebalance=False, numbers="doc_id",
     ),
     # The documents' entries, parsed once; each extractor reads its own partition.
     "bundle_entries": Table(
         """doc_id BIGINT, file_path STRING, fullUrl STRING, resource VARIANT, import_date DATE,
         resourceType STRING""",
-        partition_by=("import_date", "resourceType"),
+        partition_by=("import_date", "resourceType"), derived=True,
     ),
     # Forerunner of the document log: texts only.
     "JSONDOCUMENTS": Table("ID BIGINT NOT NULL, JSONDOCUMENT STRING NOT NULL", identity=("ID", 10)),

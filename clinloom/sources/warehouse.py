@@ -1,57 +1,103 @@
-"""Tables as Parquet folders under one root."""
+"""Tables as Parquet folders under one root, made visible by a commit manifest."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clinloom.operators.keys import assign_surrogate_key
+from clinloom.sources.manifest import Manifest, State
 from clinloom.sources.tables import TABLES, Table
 
+# Each commit's rows of a table lie in a partition of their own.
+_COMMIT = "_commit"
+
 
 class Warehouse:
-    """Reads, appends to and recreates the tables of one folder."""
+    """Reads, appends to and recreates the tables of one folder.
+
+    Rows count once their commit is in the manifest. An append is a commit of its own;
+    within ``transaction`` all appends become visible together or not at all.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.manifest = Manifest(spark, self.root)
         self.after_write: Callable[[], None] | None = None
         self._staged: list[str] = []
+        self._open: State | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    @contextmanager
+    def transaction(self) -> Iterator[None]:
+        """Publish all that is written inside at the end; an error leaves nothing of it to see.
+
+        Reads inside see the state at the beginning and what was written since. Where another
+        writer has published in between, ``CommitRefused`` is raised. Inside another
+        transaction this one is a part of it.
+        """
+        if self._open:
+            yield
+            return
+        self._open = self.manifest.newest()
+        try:
+            before = self._open.copy()
+            yield
+            if self._open != before:
+                self.manifest.publish(self._open)
+        finally:
+            self._open = None
+        if self.after_write:
+            self.after_write()
+
+    def _state(self) -> State:
+        return self._open or self.manifest.newest()
+
     def read(self, name: str) -> DataFrame:
-        """The table with its fixed schema; empty where nothing was written yet."""
+        """The committed rows of a table with its fixed schema; empty where nothing was written yet."""
         table = TABLES[name]
+        schema = T.StructType(list(table.schema.fields))
+        if not table.derived:
+            commits = self._state().commits.get(name)
+            if not commits:
+                return self.spark.createDataFrame([], table.schema)
+            schema.add(_COMMIT, T.StringType())
         try:
-            return self.spark.read.schema(table.schema).parquet(self.path(name)).select(
-                *table.schema.names
-            )
+            rows = self.spark.read.schema(schema).parquet(self.path(name))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], table.schema)
+        if not table.derived:
+            rows = rows.where(F.col(_COMMIT).isin(commits))
+        return rows.select(*table.schema.names)
+
+    def last_key(self, name: str) -> int | None:
+        """The largest surrogate key given in a table so far, as the manifest tells; no rows are read."""
+        return self._state().last_keys.get(name)
 
     def recreate(self, name: str) -> None:
         """Drop the rows of a table and leave it empty."""
-        table = TABLES[name]
-        empty = self.spark.createDataFrame([], table.schema)
-        # Partitioned or not, the whole folder is replaced by one without rows.
-        writer = empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if table.partition_by:
-            writer = writer.partitionBy(*table.partition_by)
-        writer.parquet(self.path(name))
-        if self.after_write:
-            self.after_write()
+        with self.transaction():
+            if TABLES[name].derived:
+                folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+            self._open.commits.pop(name, None)
+            self._open.last_keys.pop(name, None)
 
     def recreate_all(self) -> None:
-        for name in TABLES:
-            self.recreate(name)
+        with self.transaction():
+            for name in TABLES:
+                self.recreate(name)
 
     def append(self, name: str, rows: DataFrame, order: list[str] | None = None, stable: bool = False) -> None:
         """Append rows, filling the surrogate key and the time stamp.
@@ -60,12 +106,37 @@ class Warehouse:
         straight from files (see ``assign_surrogate_key``).
         """
         table = TABLES[name]
-        rows = self._with_key(name, table, rows, order, stable)
-        self._write(name, conform(rows, table), "append")
+        with self.transaction():
+            rows = conform(self._with_key(name, table, rows, order, stable), table)
+            commit, seen = uuid.uuid4().hex, None
+            numbers = table.identity[0] if table.identity else table.numbers
+            if numbers:
+                # The pass that writes the rows tells the key the next append goes on from.
+                seen = Observation()
+                rows = rows.observe(seen, F.max(numbers).alias("last"))
+            self._write(table, rows, f"{self.path(name)}/{_COMMIT}={commit}")
+            self._open.commits.setdefault(name, []).append(commit)
+            if seen and (last := seen.get["last"]) is not None:
+                self._open.last_keys[name] = max(last, self._open.last_keys.get(name, last))
 
     def replace_partitions(self, name: str, rows: DataFrame) -> None:
-        """Write rows over the partitions they belong to, leaving the others."""
-        self._write(name, conform(rows, TABLES[name]), "overwrite")
+        """Write rows of a derived table over the partitions they belong to, leaving the others."""
+        self._write(TABLES[name], conform(rows, TABLES[name]), self.path(name), "overwrite")
+        if self.after_write:
+            self.after_write()
+
+    def remove_unpublished(self) -> None:
+        """Delete the rows of commits that the manifest doesn't hold. No writer may be at work."""
+        commits = self.manifest.newest().commits
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        for name, table in TABLES.items():
+            folder = fs.Path(self.path(name))
+            files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            if table.derived or not files.exists(folder):
+                continue
+            for status in files.listStatus(folder):
+                if status.getPath().getName().removeprefix(f"{_COMMIT}=") not in commits.get(name, []):
+                    files.delete(status.getPath(), True)
 
     def stage(self, rows: DataFrame, label: str) -> DataFrame:
         """Write rows once under the root and read them back."""
@@ -86,12 +157,11 @@ class Warehouse:
         if table.identity is None or table.identity[0] in rows.columns:
             return rows
         key, seed = table.identity
-        last = self.read(name).agg(F.max(key)).first()[0]
+        last = self.last_key(name)
         start = seed if last is None else last + 1
         return assign_surrogate_key(rows, order or rows.columns[:1], start, key, stable=stable)
 
-    def _write(self, name: str, rows: DataFrame, mode: str) -> None:
-        table = TABLES[name]
+    def _write(self, table: Table, rows: DataFrame, path: str, mode: str = "append") -> None:
         # Rebalancing lets Spark cut hot partitions and join small ones, so the
         # files have an even size whatever the keys look like. Rows that just
         # got a surrogate key are evenly partitioned already.
@@ -100,9 +170,7 @@ class Warehouse:
         writer = rows.write.mode(mode)
         if table.partition_by:
             writer = writer.partitionBy(*table.partition_by).option("partitionOverwriteMode", "dynamic")
-        writer.parquet(self.path(name))
-        if self.after_write:
-            self.after_write()
+        writer.parquet(path)
 
 
 def conform(rows: DataFrame, table: Table) -> DataFrame:

@@ -158,3 +158,29 @@ def test_streaming_ingest_takes_each_file_once(wh, tmp_path):
     assert wh.read("JSONLogs").select("doc_id").distinct().count() == 3
     jobs.split_documents(wh, NOW.date())
     assert jobs.json_claim_extract(wh, NOW.date()).n_inserted == 2
+
+
+def test_second_import_opens_new_files_only(wh, tmp_path, monkeypatch):
+    inbox = tmp_path / "in box"
+    inbox.mkdir()
+    for i in range(5):
+        (inbox / f"{i} [x]*.json").write_text(json.dumps(BUNDLE))
+    monkeypatch.setattr(jobs, "FILES_AT_ONCE", 2)
+    opened = []
+    real = jobs.read_files
+
+    def counted(spark, path, only):
+        texts = real(spark, path, only)
+        texts.collect()
+        scan = texts._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        opened.append(scan.metrics().apply("numFiles").value())
+        return texts
+
+    monkeypatch.setattr(jobs, "read_files", counted)
+    assert [s for _, s in rows_of(jobs.import_json_files(wh, str(inbox), NOW))] == [1] * 5
+    assert opened == [2, 2, 1]
+    opened.clear()
+    (inbox / "later.json").write_text("no json")
+    assert [s for _, s in rows_of(jobs.import_json_files(wh, str(inbox), NOW))] == [3] * 5 + [2]
+    assert opened == [1]
+    assert wh.read("JSONLogs").select("doc_id").distinct().count() == 6

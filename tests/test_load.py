@@ -7,6 +7,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from plain import rows_of
 from sample import BUNDLE, CLAIM, ENCOUNTER, MEDICATION, ORGANIZATION, PATIENT, PRACTITIONER
 
@@ -14,6 +15,8 @@ from clinloom.operators.keys import assign_surrogate_key, first_per_key, not_fir
 from clinloom.operators.load import import_log_rows, known_keys, load_new
 from clinloom.plans import procedures as jobs
 from clinloom.plans.views import register_views
+from clinloom.sources.manifest import CommitRefused
+from clinloom.sources.tables import TABLES
 from clinloom.sources.warehouse import Warehouse
 
 NOW = dt.datetime(2024, 11, 30, 12, 0)
@@ -202,3 +205,86 @@ def test_load_with_a_hot_key(spark):
     assert load_new(work, target, "k", dedupe="rows").count() == 2001
     assert rows_of(load_new(work, target, "k", dedupe="key").filter("k = 'hot'")) == [("hot", 0)]
     assert load_new(work, spark.createDataFrame([("hot",)], "k string"), "k").count() == 2000
+
+
+# Commits
+
+def _writes(wh, monkeypatch):
+    """Counts the writes of a load and stops before the one of a given number."""
+    made, stop = [], [None]
+    for name in ("_write", "stage"):
+        real = getattr(Warehouse, name)
+
+        def guarded(self, *args, real=real, name=name, **kw):
+            if len(made) == stop[0]:
+                raise KeyboardInterrupt
+            made.append(name)
+            return real(self, *args, **kw)
+
+        monkeypatch.setattr(Warehouse, name, guarded)
+    publish = wh.manifest.publish
+
+    def published(state):
+        if len(made) == stop[0]:
+            raise KeyboardInterrupt
+        made.append("publish")
+        publish(state)
+
+    monkeypatch.setattr(wh.manifest, "publish", published)
+    return made, stop
+
+
+TABLES_OF_A_LOAD = ("fact_encounters", "JSONImportLog", "import_error_logs")
+
+
+def test_killed_load_shows_nothing(spark, wh, inbox, monkeypatch):
+    write_bundle(inbox, "a.json", ENCOUNTER, renamed(ENCOUNTER, "urn:uuid:e2", period={"start": "never"}))
+    jobs.import_json_files(wh, str(inbox), NOW)
+    jobs.split_documents(wh, DAY)
+    made, stop = _writes(wh, monkeypatch)
+    steps = 0
+    while True:
+        made.clear()
+        stop[0] = steps
+        reader = Warehouse(spark, wh.root)
+        try:
+            jobs.json_encounter_extract(wh, DAY)
+        except KeyboardInterrupt:
+            assert [reader.read(t).count() for t in TABLES_OF_A_LOAD] == [0, 0, 0]
+            steps += 1
+            continue
+        break
+    assert steps >= 6 and made[-1] == "publish"
+    assert [reader.read(t).count() > 0 for t in TABLES_OF_A_LOAD] == [True] * 3
+    stop[0] = None
+    seen = [rows_of(reader.read(t)) for t in TABLES_OF_A_LOAD]
+    folders = {f.name for f in (inbox.parent / "warehouse" / "fact_encounters").iterdir()}
+    wh.remove_unpublished()
+    left = {f.name for f in (inbox.parent / "warehouse" / "fact_encounters").iterdir()}
+    assert left < folders and [rows_of(reader.read(t)) for t in TABLES_OF_A_LOAD] == seen
+
+
+def test_second_writer_is_refused(spark, wh):
+    other = Warehouse(spark, wh.root)
+    rows = spark.createDataFrame([("f", 1)], "FILENAME string, ERRORNUMBER int")
+    with pytest.raises(CommitRefused):
+        with wh.transaction():
+            wh.append("import_error_logs", rows)
+            other.append("import_error_logs", rows.withColumn("FILENAME", F.lit("g")))
+    assert rows_of(wh.read("import_error_logs"), "FILENAME") == [("g",)]
+    wh.append("import_error_logs", rows)
+    assert rows_of(other.read("import_error_logs"), "FILENAME") == [("f",), ("g",)]
+
+
+def test_keys_go_on_without_reading_the_table(spark, wh, monkeypatch):
+    rows = spark.createDataFrame([("a",), ("b",)], "FILENAME string")
+    wh.append("import_error_logs", rows, ["FILENAME"])
+    key, seed = TABLES["import_error_logs"].identity
+    read = Warehouse.read
+    monkeypatch.setattr(Warehouse, "read", lambda *_: pytest.fail("the table is read"))
+    wh.append("import_error_logs", rows, ["FILENAME"])
+    monkeypatch.setattr(Warehouse, "read", read)
+    assert sorted(r[0] for r in wh.read("import_error_logs").select(key).collect()) == [seed, seed + 1, seed + 2, seed + 3]
+    assert Warehouse(spark, wh.root).last_key("import_error_logs") == seed + 3
+    wh.recreate("import_error_logs")
+    assert wh.last_key("import_error_logs") is None and wh.read("import_error_logs").count() == 0
