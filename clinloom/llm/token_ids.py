@@ -9,7 +9,10 @@ Writing goes through Spark's committer, so lost tasks run again and leave nothin
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,70 +21,101 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clinloom.llm.common import map_rows, written
+from clinloom.llm.common import _by_size, map_rows, remove, written
 from clinloom.llm.repair import Grammar, compress
 
 SHARD_IDS = 1 << 20  # a shard is closed once it has so many; a longer document stays whole
-_CACHED_WORDS = 400_000  # of memory only: later words are encoded anew each time
-_CHARACTERS_AT_ONCE = 1 << 21  # of memory only
+_CACHED_PARTS = 400_000  # of memory only: later parts are encoded anew each time
+_CACHED_WORDS = 800_000  # of memory only
 _SHARD = (
-    "part int, number int, n_ids long, n_documents long, least_doc long, greatest_doc long, "
+    "part int, number int, n_ids long, inside long, n_documents long, least_doc long, greatest_doc long, "
     "doc_ids binary, no_doc_id binary, starts binary, grammar binary"
 )
 
 
-def encoder(path: str, end: int = 1) -> Callable[[], tuple[Callable[[list[str | None]], list[bytes]], int]]:
-    """Maker of an encoder to little-endian uint32 ids, each text closed by ``end``, and the number of ids.
+# How the tokenizers file that this encoder knows cuts texts, and the same for
+# lower-cased texts of Latin letters (below U+0250, but one letter that has a mark in lower case).
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_L, _N, _S = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+_PARTS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
+# Byte-level BPE spells printable bytes as themselves and the others by characters from U+0100 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+_OTHER = re.compile("[\u0130\u0250-\U0010ffff]|<\\|")
 
-    ``path`` is a ``tokenizers`` file whose pre-tokenizer drops spaces and whose special
-    tokens hold none, so that what stands between two spaces is encoded by itself
-    and remembered. Other files are refused.
+
+def encoder(path: str, end: int = 1) -> Callable[[], tuple[Callable[[str | None], bytes], int]]:
+    """Maker of an encoder to little-endian ids, each text closed by ``end``, and the number of ids.
+
+    Ids are uint16 if there are no more of them than that holds, else uint32. ``path`` is a
+    ``tokenizers`` file of BPE over lower-cased texts whose spaces are dropped. The library encodes
+    every part between two cuts once and it is remembered: the parts its
+    pre-tokenizer makes for texts of Latin letters, else what stands between spaces. Other
+    files are refused.
     """
 
     def make():
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(tokenizer.to_str())
+        steps = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
+        cuts = [t.get("pattern", {}).get("Regex") for t in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])]
         special = tokenizer.get_added_tokens_decoder().values()
-        apart = tokenizer.encode("a b", add_special_tokens=False).ids
-        alone = [i for w in ("a", "b") for i in tokenizer.encode(w, add_special_tokens=False).ids]
-        if any(" " in t.content or t.lstrip or t.rstrip or t.single_word for t in special) or apart != alone:
-            raise ValueError("texts of this tokenizer can't be cut at spaces")
-        known: dict[str, bytes] = {"": b""}
-        tail = np.array([end], "<u4").tobytes()
-
-        def encode(texts: list[str | None]) -> list[bytes]:
-            words = [(t or "").split(" ") for t in texts]
-            fresh = list({w for ws in words for w in ws if w not in known})
-            made = tokenizer.encode_batch(fresh, add_special_tokens=False)
-            found = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(fresh, made)}
-            if len(known) + len(found) <= _CACHED_WORDS:
-                known.update(found)
-                found = known
-            elif found:
-                found = {**found, **{w: known[w] for ws in words for w in ws if w in known}}
-            else:
-                found = known
-            return [b"".join(map(found.__getitem__, ws)) + tail for ws in words]
-
-        return encode, max(tokenizer.get_vocab_size(), end + 1)
+        if (
+            steps != ["NFC", "Replace", "Lowercase"] or cuts[:1] != [_SPLIT]
+            or any(not t.content.startswith("<|") or " " in t.content or t.lstrip or t.rstrip or t.single_word for t in special)
+        ):
+            raise ValueError("it isn't known where texts of this tokenizer can be cut")
+        n_ids = max(tokenizer.get_vocab_size(), end + 1)
+        kind = "H" if n_ids <= 1 << 16 else "I"
+        bpe, tail = tokenizer.model.tokenize, array(kind, [end]).tobytes()
+        words: dict[str, bytes] = {}  # what stands between spaces
+        parts: dict[str, bytes] = {}  # what the pre-tokenizer makes of it
+
+        def whole(word: str) -> bytes:
+            return array(kind, tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+        def cut(word: str) -> bytes:
+            """Ids of a word of Latin letters: of its parts, which only the byte table changes before BPE."""
+            out = []
+            for p in _PARTS.findall(word.lower()):
+                ids = parts.get(p)
+                if ids is None:
+                    spelled = p if p.isascii() else "".join([_BYTES[c] for c in p.encode()])
+                    ids = array(kind, [t.id for t in bpe(spelled)]).tobytes()
+                    if len(parts) < _CACHED_PARTS:
+                        parts[p] = ids
+                out.append(ids)
+            return b"".join(out)
+
+        def encode(text: str | None) -> bytes:
+            if not text:
+                return tail
+            asked = text.split(" ")
+            found = list(map(words.get, asked))
+            if None in found:
+                new = whole if _OTHER.search(text) else cut
+                for i, ids in enumerate(found):
+                    if ids is None:
+                        word = asked[i]
+                        found[i] = ids = words[word] if word in words else new(word)
+                        if len(words) < _CACHED_WORDS:
+                            words[word] = ids
+            found.append(tail)
+            return b"".join(found)
+
+        return encode, n_ids
 
     return make
 
 
 def _encoded(make: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, n_ids = make()
-        narrow = n_ids <= 1 << 16
+        encode = make()[0]
         for batch in batches:
-            lengths = [len(t.as_py() or "") for t in batch.column(1)]
-            block = np.cumsum(lengths) // _CHARACTERS_AT_ONCE
-            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:]):
-                part = batch.slice(a, b - a)
-                ids = encode(part.column(1).to_pylist())
-                if narrow:
-                    ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
+            for part in _by_size(batch, 1):
+                ids = [encode(t.as_py()) for t in part.column(1)]
                 marks = pa.array([zlib.crc32(x) for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), marks, pa.array(ids, pa.binary())], ["doc_id", "mark", "ids"]
@@ -95,20 +129,20 @@ def _sharded(n_ids: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = "<u2" if n_ids <= 1 << 16 else "<u4"
-        part, number, docs, held, size = TaskContext.get().partitionId(), 0, [], [], 0
+        part, number, inside, docs, held, size = TaskContext.get().partitionId(), 0, 0, [], [], 0
 
         def shard() -> pa.RecordBatch:
             named = [d for d in docs if d is not None]
             sizes = np.array([x.size for x in held], np.int64)
             row = {
-                "part": part, "number": number, "n_ids": int(sizes.sum()), "n_documents": len(docs),
+                "part": part, "number": number, "n_ids": int(sizes.sum()), "inside": inside, "n_documents": len(docs),
                 "least_doc": min(named, default=None), "greatest_doc": max(named, default=None),
                 "doc_ids": np.array([d or 0 for d in docs], "<i8").tobytes(),
                 "no_doc_id": np.packbits([d is None for d in docs]).tobytes(),
                 "starts": (np.cumsum(sizes) - sizes).astype("<i8").tobytes(),
                 "grammar": compress(np.concatenate(held), n_ids),
             }
-            types = [pa.int32()] * 2 + [pa.int64()] * 4 + [pa.binary()] * 4
+            types = [pa.int32()] * 2 + [pa.int64()] * 5 + [pa.binary()] * 4
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types)], list(row))
 
         for batch in batches:
@@ -118,7 +152,7 @@ def _sharded(n_ids: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 size += held[-1].size
                 if size >= SHARD_IDS:
                     yield shard()
-                    number, docs, held, size = number + 1, [], [], 0
+                    number, inside, docs, held, size = number + 1, inside + size, [], [], 0
         if docs:
             yield shard()
 
@@ -138,17 +172,16 @@ def write(documents: DataFrame, folder: str, make: Callable) -> None:
     in_order = ids.repartitionByRange(*order).sortWithinPartitions(*order)
     shards = map_rows(in_order, ["doc_id", "ids"], _SHARD, _sharded(make()[1]))
     shards.write.option("compression", "zstd").parquet(folder)
+    remove(ids)
 
 
 def shards(spark: SparkSession, folder: str) -> DataFrame:
     """The shards of a folder with ``first_id``, the number of ids before each."""
     table = spark.read.schema(_SHARD).parquet(folder)
     parts = table.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    # A row for each task that wrote, whatever the size of the corpus.
+    # Bounded: a row for each task that wrote, whatever the size of the corpus.
     ahead = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("ahead"))
-    inside = F.sum("n_ids").over(Window.partitionBy("part").orderBy("number")) - F.col("n_ids")
-    places = table.select("part", "number", inside.alias("inside")).join(ahead, "part")
-    return table.join(places.select("part", "number", (F.col("ahead") + F.col("inside")).alias("first_id")), ["part", "number"])
+    return table.join(F.broadcast(ahead), "part").withColumn("first_id", F.col("ahead") + F.col("inside"))
 
 
 def _documents(wanted: Callable[[np.ndarray], np.ndarray] | None):

@@ -40,7 +40,7 @@ def test_query(spark):
 def test_odd_texts_and_small_shards(spark, odd_documents, no_documents, tmp_path, monkeypatch):
     monkeypatch.setattr(token_ids, "SHARD_IDS", 50)
     make = token_ids.encoder(PATH)
-    words = ["Foo", "foo's", "<|endoftext|>", "<|ENDOFTEXT|>", "é", "é", " ", "́x", "\x1c", "\n\t", "日本", "12a", "ΑΣ", "'s", "…", ""]
+    words = ["Foo", "foo's", "<|endoftext|>", "<|ENDOFTEXT|>", "é", "é", " ", "́x", "\x1c", "\n\t", "\x85", "\xa0", "ab.c", "x's", "don't!'re", "İ", "Ǆ", "ª²½", "Ünï", "ﬁ", "ÀÉ’s", "a_b", "<|", "日本", "12a", "ΑΣ", "'s", "…", ""]
     random.seed(12)
     rows = [(i, " ".join(random.choices(words, k=random.randint(0, 30)))) for i in range(120)] + [(None, "no id"), (-5, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
