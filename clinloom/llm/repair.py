@@ -24,7 +24,7 @@ def _chosen(pairs: np.ndarray) -> np.ndarray:
     left to later rounds. Of a run of one pair every other place is taken. Frequencies are
     counted by hash, which only decides between pairs, never what a rule stands for.
     """
-    bits = min(max(int(pairs.size).bit_length() + 2, 8), 24)
+    bits = min(max(int(pairs.size).bit_length(), 8), 24)
     cell = ((pairs ^ (pairs >> 29)).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).view(np.int64)
     counts = np.bincount(cell, minlength=1 << bits)
     counts[counts < LEAST] = 0

@@ -79,7 +79,8 @@ def encoder(path: str, end: int = 1) -> Callable[[], tuple[Callable[[str | None]
         def cut(word: str) -> bytes:
             """Ids of a word of Latin letters: of its parts, which only the byte table changes before BPE."""
             out = []
-            for p in _PARTS.findall(word.lower()):
+            lower = word.lower()
+            for p in (lower,) if lower.isascii() and lower.isalpha() else _PARTS.findall(lower):
                 ids = parts.get(p)
                 if ids is None:
                     spelled = p if p.isascii() else "".join([_BYTES[c] for c in p.encode()])
@@ -95,11 +96,13 @@ def encoder(path: str, end: int = 1) -> Callable[[], tuple[Callable[[str | None]
             asked = text.split(" ")
             found = list(map(words.get, asked))
             if None in found:
-                new = whole if _OTHER.search(text) else cut
                 for i, ids in enumerate(found):
                     if ids is None:
                         word = asked[i]
-                        found[i] = ids = words[word] if word in words else new(word)
+                        ids = words.get(word)
+                        if ids is None:
+                            ids = whole(word) if _OTHER.search(word) else cut(word)
+                        found[i] = ids
                         if len(words) < _CACHED_WORDS:
                             words[word] = ids
             found.append(tail)
