@@ -65,7 +65,8 @@ def _chat(t):
 @query("op3_suffix_dedup")
 def _suffix_dedup(t):
     return repeats.without_repeats(t.documents.select("doc_id", "text")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        F.col("kept").cast("string").alias("text"),
     )
 
 
