@@ -34,14 +34,14 @@ _SHARD = (
 
 
 # How the tokenizers file that this encoder knows cuts texts, and the same for
-# lower-cased texts of Latin letters (below U+0250, but one letter that has a mark in lower case).
+# lower-cased texts of Latin letters (below U+0180, but one letter that has a mark in lower case).
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_L, _N, _S = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+_L, _N, _S = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 _PARTS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 # Byte-level BPE spells printable bytes as themselves and the others by characters from U+0100 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
-_OTHER = re.compile("[\u0130\u0250-\U0010ffff]|<\\|")
+_OTHER = re.compile("[\u0130\u0180-\U0010ffff]|<\\|")
 
 
 def encoder(path: str, end: int = 1) -> Callable[[], tuple[Callable[[str | None], bytes], int]]:
@@ -83,7 +83,7 @@ def encoder(path: str, end: int = 1) -> Callable[[], tuple[Callable[[str | None]
             for p in (lower,) if lower.isascii() and lower.isalpha() else _PARTS.findall(lower):
                 ids = parts.get(p)
                 if ids is None:
-                    spelled = p if p.isascii() else "".join([_BYTES[c] for c in p.encode()])
+                    spelled = p if p.isascii() and p.isprintable() else "".join([_BYTES[c] for c in p.encode()])
                     ids = array(kind, [t.id for t in bpe(spelled)]).tobytes()
                     if len(parts) < _CACHED_PARTS:
                         parts[p] = ids

@@ -95,3 +95,15 @@ def test_grammars_give_any_stretch():
 def test_other_files_are_refused():
     with pytest.raises(ValueError):
         token_ids.encoder(public_tokenizers.path("byte_bpe_50k.json"))()
+
+
+def test_encoder_gives_the_librarys_ids():
+    from tokenizers import Tokenizer
+
+    tokenizer, encode = Tokenizer.from_file(PATH), token_ids.encoder(PATH)()[0]
+    random.seed(14)
+    pool = [chr(c) for c in range(0x260)] + list("abcdeABC'  s.,!t\n<|>") * 20 + ["'s", "’", "日", "́", "K", "ﬁ", "😀", "<|endoftext|>"]
+    texts = ["".join(random.choices(pool, k=random.randint(0, 40))) for _ in range(2000)]
+    texts += [t for c in map(chr, range(0x300)) for t in (f"a{c}b", f"a{c} b", f"{c}'s")]
+    for t in texts:
+        assert np.frombuffer(encode(t), "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], repr(t)
