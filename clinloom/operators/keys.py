@@ -58,19 +58,22 @@ def assign_surrogate_key(
     )
 
 
-def first_per_key(df: DataFrame, key: str) -> DataFrame:
+def first_per_key(df: DataFrame, key: str, copies: str | None = None) -> DataFrame:
     """Keep one row per key: the first when ordered by all columns, NULLs first.
 
     A minimum over the whole row, so each task reduces its own rows before the
     shuffle and a hot key costs one row per task. Rows without a key are kept.
+    ``copies`` names a column for the number of rows the key had.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     keyed = df.filter(F.col(key).isNotNull())
     # The key column itself is kept, so Spark still knows the rows lie by key.
-    firsts = keyed.groupBy(key).agg(F.min(row).alias("_row")).select(
-        *[key if c == key else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
+    firsts = keyed.groupBy(key).agg(F.min(row).alias("_row"), F.count(F.lit(1)).alias("_rows")).select(
+        *[key if c == key else F.col(f"_row.`{c}`").alias(c) for c in df.columns],
+        *([F.col("_rows").alias(copies)] if copies else []),
     )
-    return firsts.unionByName(df.filter(F.col(key).isNull()))
+    keyless = df.filter(F.col(key).isNull())
+    return firsts.unionByName(keyless.withColumn(copies, F.lit(1).cast("long")) if copies else keyless)
 
 
 def not_first_per_key(df: DataFrame, key: str) -> DataFrame:

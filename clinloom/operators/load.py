@@ -42,6 +42,21 @@ def known_keys(work: DataFrame, target: DataFrame, key: str, target_key: str | N
     )
 
 
+def few_keys(work: DataFrame, key: str, most: int) -> list[str] | None:
+    """The batch's keys, each once, where these are at most ``most``; else None."""
+    keys = work.select(key).filter(F.col(key).isNotNull()).distinct().limit(most + 1).collect()
+    return [k[0] for k in keys] if len(keys) <= most else None
+
+
+def looked_up_keys(keys: list[str], target: DataFrame, key: str, target_key: str | None = None) -> DataFrame:
+    """``known_keys`` for a short list of keys: a condition that reaches the target's files.
+
+    Files sorted by key, as a load writes them, are then read at the pages that may hold one of the keys.
+    """
+    column = target_key or key
+    return target.filter(F.col(column).isin(keys)).select(F.col(column).alias(key)).distinct()
+
+
 def load_new(
     work: DataFrame,
     target: DataFrame,
@@ -75,6 +90,23 @@ def load_new(
     return batch.join(known, key, "left_anti").select(*work.columns)
 
 
+def counted_new(work: DataFrame, known: DataFrame, key: str, dedupe: str, copies: str) -> DataFrame:
+    """``load_new`` with the number of batch rows that each row stands for, in a column ``copies``.
+
+    Their sum is the batch less the rows of known keys, so the pass that writes
+    the new rows tells that number too.
+    """
+    if dedupe == "rows":
+        batch = work.groupBy(*work.columns).agg(F.count(F.lit(1)).alias(copies))
+    elif dedupe == "key":
+        batch = first_per_key(work, key, copies)
+    elif dedupe == "none":
+        batch = work.withColumn(copies, F.lit(1).cast("long"))
+    else:
+        raise ValueError(f"unknown dedupe mode: {dedupe}")
+    return batch.join(known, key, "left_anti").select(*work.columns, copies)
+
+
 def import_log_rows(
     work: DataFrame, log: DataFrame, resource_type: str, document: str = "JsonLogsID",
     export_date: dt.date | None = None,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from clinloom.operators.documents import ALREADY_THERE, FAILED, IMPORTED
 from clinloom.operators.keys import not_first_per_key
 from clinloom.operators.load import (
-    LoadReport, duplicate_count, import_log_rows, known_keys, load_new,
+    LoadReport, counted_new, few_keys, import_log_rows, known_keys, load_new, looked_up_keys,
 )
 from clinloom.operators.quality import null_rejects, without_nulls
 from clinloom.operators.resources.benefit import BENEFIT_CASTS, benefit_rows
@@ -33,6 +33,9 @@ from clinloom.sources.tables import TABLES
 from clinloom.sources.warehouse import Warehouse
 
 FILES_AT_ONCE = 10_000  # names that the driver holds and a commit takes
+KEYS_LOOKED_UP = 500  # a batch of more keys is compared with the target by a join
+ROWS_LOOKED_AT = 100 * KEYS_LOOKED_UP  # in larger batches the keys are not counted first
+_COPIES = "_copies"
 
 # --- files -> documents -> entries ---------------------------------------------
 
@@ -55,7 +58,7 @@ def import_json_files(wh: Warehouse, path: str, run_ts: dt.datetime | None = Non
         ),
         "files",
     )
-    first_id = _next_document(wh)
+    first_id = next_document(wh)
     names = (r.file_path for r in listed.filter("_known IS NULL").select("file_path").toLocalIterator())
     while group := list(islice(names, FILES_AT_ONCE)):
         import_documents(wh, read_files(wh.spark, path, group), run_ts)
@@ -71,7 +74,7 @@ def import_documents(
 ) -> DataFrame:
     """Append texts to the document log and log the rejected, in one commit; path and status."""
     with wh.transaction():
-        first_id = _next_document(wh)
+        first_id = next_document(wh)
         wh.append("JSONLogs", as_documents(files, run_ts, first_id, batch))
         rejected = _documents_since(wh, run_ts, first_id).filter(F.col("status") == FAILED)
         _log_errors(
@@ -80,7 +83,7 @@ def import_documents(
     return _documents_since(wh, run_ts, first_id)
 
 
-def _next_document(wh: Warehouse) -> int:
+def next_document(wh: Warehouse) -> int:
     return (wh.last_key("JSONLogs") or 0) + 1
 
 
@@ -90,6 +93,13 @@ def _documents_since(wh: Warehouse, run_ts: dt.datetime, first_id: int) -> DataF
     ).select("file_path", "status")
 
 
+def documents_since(wh: Warehouse, run_ts: dt.datetime, first_id: int) -> DataFrame:
+    """The JSON documents that an import at ``run_ts`` has added from ``first_id`` on."""
+    return wh.read("JSONLogs").filter(
+        (F.col("status") == IMPORTED) & (F.col("import_date") == F.lit(run_ts.date())) & (F.col("doc_id") >= first_id)
+    ).select("doc_id", "file_path", "import_date", "json")
+
+
 def split_documents(wh: Warehouse, run_date: dt.date | None = None) -> DataFrame:
     """Parse the day's documents into entries, replacing that day's partitions.
 
@@ -173,7 +183,7 @@ def load_resource(wh: Warehouse, name: str, run_date: dt.date | None = None) ->
     spec = LOADS[name]
     try:
         with wh.transaction():
-            return _load(wh, spec, day_entries(wh, run_date))
+            return load_entries(wh, spec, day_entries(wh, run_date))
     except Exception as error:  # any failure of the job belongs in the error log
         message = wh.spark.range(1).select(F.lit(str(error)).alias("m"))
         wh.append("import_error_logs", error_rows(message, spec.stage, JOB_FAILED, F.col("m")))
@@ -182,18 +192,24 @@ def load_resource(wh: Warehouse, name: str, run_date: dt.date | None = None) ->
         wh.drop_staged()
 
 
-def _load(wh: Warehouse, spec: Load, entries: DataFrame) -> LoadReport:
+def load_entries(wh: Warehouse, spec: Load, entries: DataFrame) -> LoadReport:
+    """Load the resource's rows of ``entries``; its numbers come from the passes that write."""
     table = TABLES[spec.target]
+    key = spec.target_key or spec.key
     # Written once: everything below reads these rows, the JSON is not parsed again.
-    text = wh.stage(spec.rows(entries), spec.target)
+    text, read = wh.stage_counted(spec.rows(entries), spec.target, {"n_input": F.count(F.lit(1))})
     work = typed(text, spec.casts)
     if spec.target_key:
         work = work.withColumnRenamed(spec.key, spec.target_key)
-    key = spec.target_key or spec.key
     target = wh.read(spec.target)
     complete = without_nulls(work, table.required)
-    known = known_keys(complete, target, key)
-    fresh = wh.stage(load_new(complete, target, key, dedupe=spec.dedupe, known=known), f"{spec.target}-new")
+    keys = few_keys(complete, key, KEYS_LOOKED_UP) if read["n_input"] <= ROWS_LOOKED_AT else None
+    known = known_keys(complete, target, key) if keys is None else looked_up_keys(keys, target, key)
+    # How many rows are inserted, and how many rows of the batch these stand for.
+    fresh, new = wh.stage_counted(
+        counted_new(complete, known, key, spec.dedupe, _COPIES), f"{spec.target}-new",
+        {"n_inserted": F.count(F.lit(1)), "n_rows": F.sum(_COPIES)}, without=(_COPIES,),
+    )
 
     errors = cast_rejects(text, spec.casts, spec.stage, spec.key) if spec.casts else None
     incomplete = null_rejects(work, table.required)
@@ -203,35 +219,37 @@ def _load(wh: Warehouse, spec: Load, entries: DataFrame) -> LoadReport:
     )
     errors = nulls if errors is None else errors.unionByName(nulls)
     if spec.dedupe == "key":
-        # Compared with rows new to the table: known keys are no error.
-        extra = not_first_per_key(
-            complete.join(fresh.select(key), key, "left_semi").select(*complete.columns), key
-        )
-        errors = errors.unionByName(error_rows(
-            extra, spec.stage, DUPLICATE_KEY, F.concat(F.lit("more than one row for key "), F.col(key))
-        ))
-
-    counts = duplicate_count(complete, known, key).first()
-    n_errors = _log_errors(wh, errors)
+        errors = errors.unionByName(_further_rows(complete, fresh, key, spec.stage))
+    n_errors, n_incomplete = _log_errors(wh, errors)
     if spec.log_as:
         log = import_log_rows(fresh, wh.read("JSONImportLog"), spec.log_as)
         wh.append("JSONImportLog", log, ["JSONLogsId"])
     wh.append(spec.target, fresh, [key], stable=True)
     return LoadReport(
         spec.target,
-        n_input=text.count(),
-        n_duplicates=counts["n_duplicates"],
-        n_inserted=fresh.count(),
+        n_input=read["n_input"],
+        n_duplicates=read["n_input"] - n_incomplete - new["n_rows"],
+        n_inserted=new["n_inserted"],
         n_errors=n_errors,
     )
 
 
-def _log_errors(wh: Warehouse, errors: DataFrame) -> int:
-    staged = wh.stage(errors, "errors")
-    n = staged.count()
-    if n:
+def _further_rows(complete: DataFrame, fresh: DataFrame, key: str, stage: str) -> DataFrame:
+    """Error rows for what a load of one row per key leaves out; known keys are no error."""
+    new_keys = complete.join(fresh.select(key), key, "left_semi").select(*complete.columns)
+    return error_rows(
+        not_first_per_key(new_keys, key), stage, DUPLICATE_KEY, F.concat(F.lit("more than one row for key "), F.col(key))
+    )
+
+
+def _log_errors(wh: Warehouse, errors: DataFrame) -> tuple[int, int]:
+    """Number of errors, and of those on a missing required column (one a row)."""
+    staged, seen = wh.stage_counted(errors, "errors", {
+        "n": F.count(F.lit(1)), "n_null": F.count_if(F.col("ERRORNUMBER") == NULL_NOT_ALLOWED),
+    })
+    if seen["n"]:
         wh.append("import_error_logs", staged, ["FILENAME"], stable=True)
-    return n
+    return seen["n"], seen["n_null"]
 
 
 # --- the public jobs, one per resource ------------------------------------------------
@@ -289,25 +307,25 @@ def import_csv(wh: Warehouse, path: str, table: str, rename: Mapping[str, str] |
 def _csv(wh: Warehouse, path: str, table: str, rename: Mapping[str, str] | None) -> LoadReport:
     spec = TABLES[table]
     rows, errors = read_csv(wh.spark, path, table, rename)
-    work = wh.stage(rows, table)
+    work, read = wh.stage_counted(rows, table, {"n_input": F.count(F.lit(1))})
     complete = without_nulls(work, spec.required)
     stage = f"FAILED WHILE READING CSV {table}"
     errors = errors.unionByName(error_rows(
         null_rejects(work, spec.required), stage, NULL_NOT_ALLOWED, F.lit("a required column is NULL")
     ))
-    fresh = complete
+    fresh, new = complete, None
     if spec.unique:
         # One text for a key of several columns.
         key = "_natural_key"
         keyed = complete.withColumn(key, F.to_json(F.array(*spec.unique)))
         known = wh.read(table).withColumn(key, F.to_json(F.array(*spec.unique)))
-        kept = wh.stage(load_new(keyed, known, key, dedupe="key"), f"{table}-new")
-        extra = not_first_per_key(keyed.join(kept.select(key), key, "left_semi").select(*keyed.columns), key)
-        errors = errors.unionByName(error_rows(
-            extra, stage, DUPLICATE_KEY, F.concat(F.lit("more than one row for key "), F.col(key))
-        ))
+        kept, new = wh.stage_counted(
+            load_new(keyed, known, key, dedupe="key"), f"{table}-new", {"n_inserted": F.count(F.lit(1))}
+        )
+        errors = errors.unionByName(_further_rows(keyed, kept, key, stage))
         fresh = kept.drop(key)
-    n_errors = _log_errors(wh, errors)
-    n_input, n_complete, n_inserted = work.count(), complete.count(), fresh.count()
+    n_errors, n_incomplete = _log_errors(wh, errors)
+    n_complete = read["n_input"] - n_incomplete
+    n_inserted = new["n_inserted"] if new else n_complete
     wh.append(table, fresh, [spec.unique[0] if spec.unique else spec.required[0]], stable=True)
-    return LoadReport(table, n_input, n_complete - n_inserted, n_inserted, n_errors)
+    return LoadReport(table, read["n_input"], n_complete - n_inserted, n_inserted, n_errors)

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,7 @@ from clinloom.sources.tables import TABLES, Table
 
 # Each commit's rows of a table lie in a partition of their own.
 _COMMIT = "_commit"
+_LAST = "last key"
 
 
 class Warehouse:
@@ -31,6 +32,8 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.manifest = Manifest(spark, self.root)
         self.after_write: Callable[[], None] | None = None
+        # Rows of the last append to each table that break a declared rule, by rule.
+        self.broken: dict[str, dict[str, int]] = {}
         self._staged: list[str] = []
         self._open: State | None = None
 
@@ -108,16 +111,16 @@ class Warehouse:
         table = TABLES[name]
         with self.transaction():
             rows = conform(self._with_key(name, table, rows, order, stable), table)
-            commit, seen = uuid.uuid4().hex, None
-            numbers = table.identity[0] if table.identity else table.numbers
+            commit, numbers = uuid.uuid4().hex, table.identity[0] if table.identity else table.numbers
+            # The pass that writes the rows tells the key the next append goes on from and checks the rows.
+            wanted = observed_rules(table)
             if numbers:
-                # The pass that writes the rows tells the key the next append goes on from.
-                seen = Observation()
-                rows = rows.observe(seen, F.max(numbers).alias("last"))
-            self._write(table, rows, f"{self.path(name)}/{_COMMIT}={commit}")
+                wanted[_LAST] = F.max(numbers)
+            seen = self._write(table, rows, f"{self.path(name)}/{_COMMIT}={commit}", observed=wanted)
             self._open.commits.setdefault(name, []).append(commit)
-            if seen and (last := seen.get["last"]) is not None:
+            if (last := seen.pop(_LAST, None)) is not None:
                 self._open.last_keys[name] = max(last, self._open.last_keys.get(name, last))
+            self.broken[name] = {rule: n for rule, n in seen.items() if n}
 
     def replace_partitions(self, name: str, rows: DataFrame) -> None:
         """Write rows of a derived table over the partitions they belong to, leaving the others."""
@@ -138,13 +141,26 @@ class Warehouse:
                 if status.getPath().getName().removeprefix(f"{_COMMIT}=") not in commits.get(name, []):
                     files.delete(status.getPath(), True)
 
-    def stage(self, rows: DataFrame, label: str) -> DataFrame:
-        """Write rows once under the root and read them back."""
+    def stage(self, rows: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
+        """Write rows once under the root, in folders of the columns ``by``, and read them back."""
         path = f"{self.root}/_staging/{label}-{uuid.uuid4().hex}"
-        rows.write.parquet(path)
+        (rows.write.partitionBy(*by) if by else rows.write).parquet(path)
         self._staged.append(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def stage_counted(
+        self, rows: DataFrame, label: str, counts: Mapping[str, Column], without: tuple[str, ...] = ()
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """``stage``, and the ``counts`` over all rows, taken by the pass that writes them.
+
+        The columns ``without`` are counted only and not written. What is counted is
+        counted where a task writes, so a task that runs again counts once.
+        """
+        seen = Observation()
+        observed = rows.observe(seen, *[c.alias(n) for n, c in counts.items()]).drop(*without)
+        staged = self.stage(observed, label)
+        return staged, {n: seen.get.get(n) or 0 for n in counts}
+
     def drop_staged(self) -> None:
         """Delete what this object has staged; nothing made of it may be read after."""
         files = self.spark._jvm.org.apache.hadoop.fs
@@ -161,16 +177,34 @@ class Warehouse:
         start = seed if last is None else last + 1
         return assign_surrogate_key(rows, order or rows.columns[:1], start, key, stable=stable)
 
-    def _write(self, table: Table, rows: DataFrame, path: str, mode: str = "append") -> None:
+    def _write(
+        self, table: Table, rows: DataFrame, path: str, mode: str = "append",
+        observed: Mapping[str, Column] | None = None,
+    ) -> dict[str, int]:
         # Rebalancing lets Spark cut hot partitions and join small ones, so the
         # files have an even size whatever the keys look like. Rows that just
         # got a surrogate key are evenly partitioned already.
         if table.rebalance and not table.identity:
             rows = rows.hint("rebalance", *table.partition_by)
+        seen = Observation()
+        if observed:
+            # Behind the shuffle: what is counted there counts once, also where a task runs again.
+            rows = rows.observe(seen, *[c.alias(n) for n, c in observed.items()])
         writer = rows.write.mode(mode)
         if table.partition_by:
             writer = writer.partitionBy(*table.partition_by).option("partitionOverwriteMode", "dynamic")
         writer.parquet(path)
+        return dict(seen.get) if observed else {}
+
+
+def observed_rules(table: Table) -> dict[str, Column]:
+    """Numbers of rows that break a declared rule, for the pass that writes them (``not null x``, ``length x``).
+
+    Unique keys need a shuffle of their own; ``check_table`` has them, and the rows that break a rule.
+    """
+    nulls = {f"not null {c}": F.count_if(F.col(f"`{c}`").isNull()) for c in table.required}
+    longs = {f"length {c}": F.count_if(F.length(f"`{c}`") > n) for c, n in table.lengths.items()}
+    return {**nulls, **longs}
 
 
 def conform(rows: DataFrame, table: Table) -> DataFrame:

@@ -8,16 +8,19 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 from plain import rows_of
 from sample import BUNDLE, CLAIM, ENCOUNTER, MEDICATION, ORGANIZATION, PATIENT, PRACTITIONER
 
 from clinloom.operators.keys import assign_surrogate_key, first_per_key, not_first_per_key
-from clinloom.operators.load import import_log_rows, known_keys, load_new
+from clinloom.operators.load import counted_new, few_keys, import_log_rows, known_keys, load_new, looked_up_keys
 from clinloom.plans import procedures as jobs
 from clinloom.plans.views import register_views
 from clinloom.sources.manifest import CommitRefused
 from clinloom.sources.tables import TABLES
 from clinloom.sources.warehouse import Warehouse
+from clinloom.streaming import ingest
+from clinloom.streaming.ingest import load_available
 
 NOW = dt.datetime(2024, 11, 30, 12, 0)
 DAY = NOW.date()
@@ -207,6 +210,97 @@ def test_load_with_a_hot_key(spark):
     assert load_new(work, spark.createDataFrame([("hot",)], "k string"), "k").count() == 2000
 
 
+# What the writing passes tell, and what a lookup reads
+
+def test_counts_of_copies_and_known_rows(spark, wh, inbox):
+    """Known keys, copies, rows without a required value: the numbers add up without a count of their own."""
+    write_bundle(inbox, "a.json", CLAIM, CLAIM, renamed(CLAIM, "urn:uuid:c4", patient={}))
+    jobs.import_json_files(wh, str(inbox), NOW)
+    jobs.split_documents(wh, DAY)
+    first = jobs.json_claim_extract(wh, DAY)
+    assert (first.n_input, first.n_duplicates, first.n_inserted, first.n_errors) == (6, 0, 2, 2)
+    again = jobs.json_claim_extract(wh, DAY)
+    assert (again.n_input, again.n_duplicates, again.n_inserted, again.n_errors) == (6, 4, 0, 2)
+
+
+@pytest.mark.parametrize("dedupe", ["none", "rows", "key"])
+def test_counted_new_agrees_with_load_new(spark, dedupe):
+    work = spark.createDataFrame(
+        [("a", 1), ("b", 2), ("b", 2), ("b", 1), (None, 7), (None, 7)], "k string, v int"
+    )
+    target = spark.createDataFrame([("a",), ("z",), (None,)], "k string")
+    counted = counted_new(work, known_keys(work, target, "k"), "k", dedupe, "_n")
+    assert rows_of(counted.drop("_n")) == rows_of(load_new(work, target, "k", dedupe=dedupe))
+    assert counted.agg(F.sum("_n")).first()[0] == 5
+    with pytest.raises(ValueError):
+        counted_new(work, target, "k", "some", "_n")
+
+
+def test_a_load_counts_nothing_apart(wh, inbox, monkeypatch):
+    write_bundle(inbox, "a.json", ENCOUNTER)
+    jobs.import_json_files(wh, str(inbox), NOW)
+    jobs.split_documents(wh, DAY)
+    real = Warehouse._with_key
+    counted = []
+
+    def keyed(self, name, table, rows, order, stable):
+        monkeypatch.setattr(DataFrame, "count", count)
+        try:
+            return real(self, name, table, rows, order, stable)
+        finally:
+            monkeypatch.setattr(DataFrame, "count", lambda *_: counted.append(1) or 0)
+
+    count = DataFrame.count
+    monkeypatch.setattr(Warehouse, "_with_key", keyed)
+    monkeypatch.setattr(DataFrame, "count", lambda *_: counted.append(1) or 0)
+    report = jobs.json_encounter_extract(wh, DAY)
+    monkeypatch.setattr(DataFrame, "count", count)
+    assert report.n_inserted > 0 and not counted
+
+
+def test_append_tells_broken_rules(spark, wh):
+    rows = spark.createDataFrame([("x" * 101, "P"), (None, "Q"), ("z", None)], "ID string, name string")
+    wh.append("dim_payer", rows)
+    assert wh.broken["dim_payer"] == {"not null ID": 1, "length ID": 1}
+    wh.append("dim_payer", rows.filter("name IS NULL"))
+    assert wh.broken["dim_payer"] == {}
+
+
+def _scanned(spark, df):
+    """Rows that the file scans of ``df`` gave to the plan."""
+    df.collect()
+    rows, plans = 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName().startswith("AdaptiveSparkPlan"):
+            plans.append(plan.executedPlan())
+            continue
+        if plan.nodeName().endswith("QueryStage"):
+            plans.append(plan.plan())
+            continue
+        if plan.nodeName().startswith("Scan"):
+            rows += plan.metrics().apply("numOutputRows").value()
+        children = plan.children()
+        plans.extend(children.apply(i) for i in range(children.size()))
+    return rows
+
+
+def test_lookup_reads_what_the_batch_needs(spark, tmp_path):
+    """Of sorted files only the pages that may hold a key of the batch are read."""
+    n = 200_000
+    path = str(tmp_path / "target")
+    spark.range(n, numPartitions=1).selectExpr("md5(string(id)) AS k").sort("k").write.parquet(path)
+    target = spark.read.parquet(path)
+    spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", "500")
+    work = spark.createDataFrame([(row[0],) for row in spark.range(2).selectExpr("md5(string(id))").collect()] + [("none",), (None,)], "k string")
+    keys = few_keys(work, "k", 3)
+    assert few_keys(work, "k", 2) is None and len(keys) == 3
+    few = looked_up_keys(keys, target, "k")
+    assert rows_of(few) == rows_of(known_keys(work, target, "k")) and few.count() == 2
+    assert _scanned(spark, few) < n // 3
+    assert _scanned(spark, known_keys(work, target, "k")) > n // 3
+
+
 # Commits
 
 def _writes(wh, monkeypatch):
@@ -288,3 +382,47 @@ def test_keys_go_on_without_reading_the_table(spark, wh, monkeypatch):
     assert Warehouse(spark, wh.root).last_key("import_error_logs") == seed + 3
     wh.recreate("import_error_logs")
     assert wh.last_key("import_error_logs") is None and wh.read("import_error_logs").count() == 0
+
+
+# Loads as a stream
+
+LOADED = ("JSONLogs", "fact_claim", "fact_encounters", "JSONImportLog", "import_error_logs")
+
+
+def test_stream_loads_each_batch_once(spark, wh, inbox, tmp_path, monkeypatch):
+    write_bundle(inbox, "a.json", CLAIM, ENCOUNTER, renamed(CLAIM, "urn:uuid:c9", patient={}))
+    checkpoint = tmp_path / "checkpoint"
+    monkeypatch.setattr(ingest, "LOADS", {name: jobs.LOADS[name] for name in ("claim", "encounter")})
+    write = Warehouse._write
+
+    def dies(self, table, rows, path, *args, **kw):
+        if "fact_encounters" in path:
+            raise RuntimeError("executor lost")
+        return write(self, table, rows, path, *args, **kw)
+
+    # between the log and the data: nothing of the batch is seen
+    monkeypatch.setattr(Warehouse, "_write", dies)
+    with pytest.raises(Exception, match="executor lost"):
+        load_available(wh, str(inbox), str(checkpoint), NOW).awaitTermination()
+    monkeypatch.setattr(Warehouse, "_write", write)
+    assert [wh.read(t).count() for t in LOADED] == [0] * 5
+
+    # the batch comes again
+    load_available(wh, str(inbox), str(checkpoint), NOW).awaitTermination()
+    whole = [wh.read(t).count() for t in LOADED]
+    assert all(whole)
+
+    # published but not checkpointed: the same batch comes again and is passed over
+    (checkpoint / "commits" / "0").unlink()
+    (checkpoint / "commits" / ".0.crc").unlink(missing_ok=True)
+    load_available(wh, str(inbox), str(checkpoint), NOW).awaitTermination()
+    assert [wh.read(t).count() for t in LOADED] == whole
+
+    # a new file with one known and one new claim
+    write_bundle(inbox, "b.json", CLAIM, renamed(CLAIM, "urn:uuid:c2"))
+    load_available(wh, str(inbox), str(checkpoint), NOW).awaitTermination()
+    assert wh.read("fact_claim").count() == 2 * whole[1]
+    # the day's load finds all of it loaded
+    jobs.split_documents(wh, DAY)
+    report = jobs.json_claim_extract(wh, DAY)
+    assert (report.n_inserted, report.status) == (0, 0)
