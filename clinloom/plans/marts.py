@@ -22,9 +22,31 @@ DIABETES = "%diabet%"
 _TOTAL = "claimTotal"
 
 
-def _money_average(column: str) -> Column:
+def _money_average(total: str, n: str) -> Column:
     """Average that keeps the four digits of the money type."""
-    return F.avg(column).cast(MONEY)
+    return (F.col(total).cast("decimal(28,4)") / F.col(n).cast("decimal(14,0)")).cast(MONEY)
+
+
+# Texts are compared ignoring case, ids exactly.
+_COLLATION = "UTF8_LCASE"
+
+
+def same_text(left: str, right: str) -> Column:
+    return F.collate(left, _COLLATION) == F.collate(right, _COLLATION)
+
+
+def _by_text(rows: DataFrame, texts: list[str], others: list[str], first: dict[str, Column], merge: dict) -> DataFrame:
+    """Aggregates by ``texts``, ignoring their case, and ``others``; a group has its least spelling.
+
+    ``first`` holds the aggregates of the rows of one spelling and ``merge`` the function that
+    makes one of those of several: the rows meet in hash tables on exact texts, and only
+    the few sums are sorted by the collation.
+    """
+    spelled = rows.groupBy(*others, *texts).agg(*[c.alias(n) for n, c in first.items()])
+    keys = [F.collate(t, _COLLATION).alias(f"_{t}") for t in texts]
+    return spelled.groupBy(*others, *keys).agg(
+        *[F.min(t).alias(t) for t in texts], *[merge[n](n).alias(n) for n in first]
+    )
 
 
 # --- claims -----------------------------------------------------------------
@@ -32,12 +54,23 @@ def _money_average(column: str) -> Column:
 
 
 def claims_overview(claims: DataFrame) -> DataFrame:
-    return claims.groupBy("claimStatus", "claimUse").agg(
-        F.count(F.lit(1)).alias("claimCount"),
-        F.sum(_TOTAL).alias("totalClaimAmount"),
-        _money_average(_TOTAL).alias("averageClaimAmount"),
-        F.min("claimbillablePeriodStart").alias("earliestClaimDate"),
-        F.max("claimbillablePeriodEnd").alias("latestClaimDate"),
+    return _by_text(
+        claims, ["claimStatus", "claimUse"], [],
+        {
+            "claimCount": F.count(F.lit(1)),
+            "totalClaimAmount": F.sum(_TOTAL),
+            "_n": F.count(_TOTAL),
+            "earliestClaimDate": F.min("claimbillablePeriodStart"),
+            "latestClaimDate": F.max("claimbillablePeriodEnd"),
+        },
+        {
+            "claimCount": F.sum, "totalClaimAmount": F.sum, "_n": F.sum,
+            "earliestClaimDate": F.min, "latestClaimDate": F.max,
+        },
+    ).select(
+        "claimStatus", "claimUse", "claimCount", "totalClaimAmount",
+        _money_average("totalClaimAmount", "_n").alias("averageClaimAmount"),
+        "earliestClaimDate", "latestClaimDate",
     )
 
 
@@ -54,16 +87,20 @@ def claims_utilization_summary(claims: DataFrame) -> DataFrame:
 
 
 def claims_by_type(claims: DataFrame) -> DataFrame:
-    return claims.groupBy("claimId", F.col("claimCode").alias("ClaimType")).agg(
-        F.count(F.lit(1)).alias("procedureCount"), F.sum(_TOTAL).alias("totalClaimAmount")
-    )
+    return _by_text(
+        claims.withColumnRenamed("claimCode", "ClaimType"), ["ClaimType"], ["claimId"],
+        {"procedureCount": F.count(F.lit(1)), "totalClaimAmount": F.sum(_TOTAL)},
+        {"procedureCount": F.sum, "totalClaimAmount": F.sum},
+    ).select("claimId", "ClaimType", "procedureCount", "totalClaimAmount")
 
 
 def claims_by_provider_diagnosis(claims: DataFrame) -> DataFrame:
     """``diagnosisCode`` is the claim's type code under the name the view gives it."""
-    return claims.groupBy(
-        "claimProviderReference", F.col("claimCode").alias("diagnosisCode")
-    ).agg(F.count(F.lit(1)).alias("claimCount"), F.sum(_TOTAL).alias("totalClaimAmount"))
+    return _by_text(
+        claims.withColumnRenamed("claimCode", "diagnosisCode"), ["diagnosisCode"], ["claimProviderReference"],
+        {"claimCount": F.count(F.lit(1)), "totalClaimAmount": F.sum(_TOTAL)},
+        {"claimCount": F.sum, "totalClaimAmount": F.sum},
+    ).select("claimProviderReference", "diagnosisCode", "claimCount", "totalClaimAmount")
 
 
 def _claim_encounters(claims: DataFrame, encounters: DataFrame) -> DataFrame:
@@ -74,18 +111,17 @@ def claims_cost_by_hospital(
     claims: DataFrame, encounters: DataFrame, organizations: DataFrame
 ) -> DataFrame:
     hospitals = organizations.select(F.col("ID").alias("hospitalId"), F.col("name").alias("HospitalName"))
-    return (
-        _claim_encounters(
-            claims.select("claimId", "encounterId", _TOTAL, *_year_month()),
-            encounters.select("encounter_ID", "organizationID"),
-        )
-        .join(hospitals, F.col("organizationID") == F.col("hospitalId"))
-        .groupBy("claimYear", "claimMonth", "HospitalName")
-        .agg(
-            F.count("claimId").alias("TotalClaims"),
-            F.sum(_TOTAL).alias("TotalClaimCost"),
-            _money_average(_TOTAL).alias("AverageClaimCost"),
-        )
+    billed = _claim_encounters(
+        claims.select("claimId", "encounterId", _TOTAL, *_year_month()),
+        encounters.select("encounter_ID", "organizationID"),
+    ).join(hospitals, F.col("organizationID") == F.col("hospitalId"))
+    return _by_text(
+        billed, ["HospitalName"], ["claimYear", "claimMonth"],
+        {"TotalClaims": F.count("claimId"), "TotalClaimCost": F.sum(_TOTAL), "_n": F.count(_TOTAL)},
+        {"TotalClaims": F.sum, "TotalClaimCost": F.sum, "_n": F.sum},
+    ).select(
+        "claimYear", "claimMonth", "HospitalName", "TotalClaims", "TotalClaimCost",
+        _money_average("TotalClaimCost", "_n").alias("AverageClaimCost"),
     )
 
 
@@ -120,7 +156,7 @@ def _counted_cohort(encounter_conditions: DataFrame, conditions: DataFrame, patt
         .groupBy("code", "description").agg(F.count(F.lit(1)).alias(_COPIES))
     )
     return encounter_conditions.select("encounter_ID", "condition_code").join(
-        counted, F.col("condition_code") == F.col("code")
+        counted, same_text("condition_code", "code")
     )
 
 
@@ -246,12 +282,12 @@ def cohort_hospitalization_summary(
     """
     per_code = (
         conditions.filter(F.col("description").ilike(pattern))
-        .groupBy(F.col("code").alias("condition_code"))
+        .groupBy("code")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     matches = (
         encounter_conditions.select("encounter_ID", "condition_code")
-        .join(per_code, "condition_code")
+        .join(per_code, same_text("condition_code", "code"))
         .groupBy("encounter_ID")
         .agg(F.sum("n").alias("n_matches"))
     )

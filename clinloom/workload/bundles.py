@@ -156,12 +156,14 @@ def encounters(t: Tables) -> DataFrame:
     )
 
 
-def medication_requests(t: Tables) -> DataFrame:
+def medication_requests(t: Tables, dose_in_instruction: bool = False) -> DataFrame:
     def dosage(sequence: str) -> str:
+        dose = {"doseAndRate": arr(st(doseQuantity=st(value=f"l_quantity + {sequence}")))} if dose_in_instruction else {}
         return st(
             sequence=sequence,
             asNeededBoolean="l_returnflag = 'R'",
             timing=st(repeat=st(frequency="l_linenumber", period="l_tax", periodUnit="'d'")),
+            **dose,
         )
 
     return entries(

@@ -42,6 +42,15 @@ def claim(t: Tables):
     return as_doubles(resources.extract_claim(bundles.claims(t)), "claimTotal")
 
 
+@query("q_extract_claim_dates_as_written", f"""
+SELECT DISTINCT {_text('o_orderkey')} AS claimId, {_late('o_orderdate')} AS claimbillablePeriodStart,
+       {_early('l_shipdate')} AS claimbillablePeriodEnd, {_early('o_orderdate')} AS claimCreated
+FROM {_ORDER_LINES}""")
+def claim_dates_as_written(t: Tables):
+    rows = resources.extract_claim(bundles.claims(t), repeats=False, cast_dates=False)
+    return rows.select("claimId", "claimbillablePeriodStart", "claimbillablePeriodEnd", "claimCreated").distinct()
+
+
 @query("q_extract_mixed_bundles", f"""
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, 'Claim' AS kind, l_linestatus AS status,
        {_text('l_suppkey')} AS person, i.n AS item, {_text('l_orderkey')} AS encounter,
@@ -113,6 +122,17 @@ def medication_request(t: Tables):
     return resources.extract_medication_request(bundles.medication_requests(t))
 
 
+@query("q_extract_medication_doses", f"""
+SELECT {_text('l_orderkey')} AS medicationRequestID, {_text('p_partkey')} AS medicationCode,
+       d.n AS sequence, l_linenumber AS frequency, l_quantity + d.n AS dosageQuantity
+FROM lineitem JOIN part ON l_partkey = p_partkey,
+     unnest(CASE WHEN l_linestatus = 'F' THEN [1, 2] ELSE [1] END) AS d(n)""")
+def medication_doses(t: Tables):
+    """Each instruction has a dose of its own, beside that of the resource."""
+    rows = resources.extract_medication_request(bundles.medication_requests(t, dose_in_instruction=True), "instruction")
+    return rows.select("medicationRequestID", "medicationCode", "sequence", "frequency", "dosageQuantity")
+
+
 @query("q_extract_eob", f"""
 SELECT {_text('o_orderkey')} AS ExplanationOfBenefitId, 'active' AS status, 'claim' AS ExplanationOfBenefitUse,
        o_orderstatus AS ExplanationOfBenefitCodingDetailsCode, {_text('o_custkey')} AS patientID,

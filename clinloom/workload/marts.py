@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from clinloom.plans import marts
 from clinloom.workload import star
 from clinloom.workload.registry import Tables, as_doubles, query
@@ -34,6 +36,28 @@ def claims_overview(t: Tables):
     )
 
 
+# Every third order is written in small letters; the group is named by its least spelling.
+_SPELLED = """
+spelled AS (
+  SELECT * REPLACE (CASE WHEN CAST(claimId AS BIGINT) % 3 = 0 THEN lower(claimStatus) ELSE claimStatus END AS claimStatus,
+                    CASE WHEN CAST(claimId AS BIGINT) % 5 = 0 THEN lower(claimUse) ELSE claimUse END AS claimUse)
+  FROM order_claims)
+"""
+
+
+@query("q_claims_overview_ignoring_case", star.SQL.rstrip() + "," + _SPELLED + f"""
+SELECT MIN(claimStatus) AS claimStatus, MIN(claimUse) AS claimUse, COUNT(*) AS claimCount,
+       {_sum('claimTotal')} AS totalClaimAmount, {_avg('claimTotal')} AS averageClaimAmount,
+       MIN(claimbillablePeriodStart) AS earliestClaimDate, MAX(claimbillablePeriodEnd) AS latestClaimDate
+FROM spelled GROUP BY lower(claimStatus), lower(claimUse)""")
+def claims_overview_ignoring_case(t: Tables):
+    claims = star.claims_of_orders(t).withColumns({
+        "claimStatus": F.expr("if(claimId % 3 = 0, lower(claimStatus), claimStatus)"),
+        "claimUse": F.expr("if(claimId % 5 = 0, lower(claimUse), claimUse)"),
+    })
+    return as_doubles(marts.claims_overview(claims), "totalClaimAmount", "averageClaimAmount")
+
+
 _YEAR_MONTH = """CAST(YEAR(claimbillablePeriodStart) AS INTEGER) AS claimYear,
        CAST(MONTH(claimbillablePeriodStart) AS INTEGER) AS claimMonth"""
 
@@ -134,6 +158,21 @@ def cohort_encounters(t: Tables):
     )
 
 
+@query("q_cohort_codes_ignoring_case", star.SQL + f"""
+SELECT p.ID AS patientId, {_PATIENT_NAME}, e.encounter_ID, e."start" AS encounterDate,
+       e.encounter_class AS encounterType, hc.name AS providerName
+FROM patients p JOIN encounters e ON p.ID = e.patientID JOIN organizations hc ON e.organizationID = hc.ID
+JOIN encounter_conditions d ON e.encounter_ID = d.encounter_ID
+JOIN conditions dc ON lower('C' || d.condition_code) = lower('c' || dc.code) WHERE {_MATCH}""")
+def cohort_codes_ignoring_case(t: Tables):
+    """Encounters write codes in capitals, conditions in small letters."""
+    return marts.cohort_visits(
+        star.patients(t), star.encounters(t), star.organizations(t),
+        star.encounter_conditions(t).withColumn("condition_code", F.concat(F.lit("C"), "condition_code")),
+        star.conditions(t).withColumn("code", F.concat(F.lit("c"), "code")), COHORT,
+    )
+
+
 @query("q_cohort_hospitalization", star.SQL + f"""
 SELECT p.ID AS patientId, {_PATIENT_NAME}, hc.name AS hospitalName, e."start" AS encounterDate,
        e.encounter_class AS encounterType, {_sum('fc.claimTotal')} AS hospitalizationCost

@@ -83,3 +83,24 @@ def test_averages_keep_four_digits(spark):
         "claimbillablePeriodStart timestamp_ntz, claimbillablePeriodEnd timestamp_ntz")
     row = marts.claims_overview(df).first()
     assert (row.claimCount, row.averageClaimAmount) == (4, Decimal("0.6667"))
+
+
+def test_texts_group_and_join_ignoring_case(spark):
+    """One group of all spellings under the least of them, NULL a group of its own; ids stay exact."""
+    claims = spark.createDataFrame(
+        [("a", "Active", "X", 1), ("a", "active", "X", 2), ("A", "ACTIVE", "x", 4), ("b", None, "x", None)],
+        "claimId string, claimStatus string, claimUse string, claimTotal int",
+    ).selectExpr(
+        "claimId", "claimStatus", "claimUse", "claimStatus AS claimCode", "CAST(claimTotal AS decimal(19,4)) AS claimTotal",
+        "TIMESTAMP_NTZ '2020-01-01 00:00:00' AS claimbillablePeriodStart", "TIMESTAMP_NTZ '2020-01-02 00:00:00' AS claimbillablePeriodEnd",
+    )
+    got = marts.claims_overview(claims).selectExpr(
+        "claimStatus", "claimUse", "claimCount", "CAST(totalClaimAmount AS int)", "string(averageClaimAmount)"
+    )
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [("ACTIVE", "X", 3, 7, "2.3333"), (None, "x", 1, None, None)], key=repr
+    )
+    kinds = marts.claims_by_type(claims).select("claimId", "ClaimType", "procedureCount")
+    assert sorted(map(tuple, kinds.collect()), key=repr) == sorted(
+        [("a", "Active", 2), ("A", "ACTIVE", 1), ("b", None, 1)], key=repr
+    )
