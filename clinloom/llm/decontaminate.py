@@ -154,7 +154,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, keep: list[str], f
     16 MB; an empty benchmark finds nothing, empty documents give no rows.
     """
     context = documents.sparkSession.sparkContext
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
+    # Each item once: copies of one would share a block, and no block may outgrow its size.
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + size // BLOCK_BYTES
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
