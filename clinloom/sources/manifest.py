@@ -39,6 +39,8 @@ class Manifest:
         self._jvm = spark._jvm
         self._conf = spark._jsc.hadoopConfiguration()
         self._folder = f"{root}/_manifest"
+        # The versions for Spark's readers; their names ascend.
+        self.files = f"{self._folder}/*.json"
 
     def newest(self) -> State:
         """The state of the last version; an empty one where nothing was published."""

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager, suppress
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinloom.operators.keys import assign_surrogate_key
-from clinloom.sources.manifest import Manifest, State
+from clinloom.sources.manifest import CommitRefused, Manifest, State
 from clinloom.sources.tables import TABLES, Table
 
 # Each commit's rows of a table lie in a partition of their own.
 _COMMIT = "_commit"
 _LAST = "last key"
+# A folder that no commit names and Spark's name of the partition without a value: an empty
+# file there tells the columns to those who query the folder.
+_DECLARED = "declared"
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 class Warehouse:
@@ -31,7 +35,6 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.manifest = Manifest(spark, self.root)
-        self.after_write: Callable[[], None] | None = None
         # Rows of the last append to each table that break a declared rule, by rule.
         self.broken: dict[str, dict[str, int]] = {}
         self._staged: list[str] = []
@@ -59,8 +62,6 @@ class Warehouse:
                 self.manifest.publish(self._open)
         finally:
             self._open = None
-        if self.after_write:
-            self.after_write()
 
     def _state(self) -> State:
         return self._open or self.manifest.newest()
@@ -93,7 +94,11 @@ class Warehouse:
         with self.transaction():
             if TABLES[name].derived:
                 folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+                files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+                declared = self._declared(name) in self._folders(name)
+                files.delete(folder, True)
+                if declared:
+                    self._declare(name)
             self._open.commits.pop(name, None)
             self._open.last_keys.pop(name, None)
 
@@ -125,8 +130,31 @@ class Warehouse:
     def replace_partitions(self, name: str, rows: DataFrame) -> None:
         """Write rows of a derived table over the partitions they belong to, leaving the others."""
         self._write(TABLES[name], conform(rows, TABLES[name]), self.path(name), "overwrite")
-        if self.after_write:
-            self.after_write()
+
+    def declare(self) -> None:
+        """Give every table a folder with an empty file and the warehouse a manifest, where they have none."""
+        if not self.manifest.newest().version:
+            with suppress(CommitRefused):  # then another writer has just made one
+                self.manifest.publish(State())
+        for name in TABLES:
+            if self._declared(name) not in self._folders(name):
+                self._declare(name)
+
+    def _declared(self, name: str) -> str:
+        table = TABLES[name]
+        return f"{table.partition_by[0]}={_NO_VALUE}" if table.derived else f"{_COMMIT}={_DECLARED}"
+
+    def _declare(self, name: str) -> None:
+        table = TABLES[name]
+        inner = table.partition_by[1:] if table.derived else table.partition_by
+        folder = "/".join([self.path(name), self._declared(name), *[f"{c}={_NO_VALUE}" for c in inner]])
+        stored = [f for f in table.schema if f.name not in table.partition_by]
+        self.spark.createDataFrame([], T.StructType(stored)).coalesce(1).write.mode("overwrite").parquet(folder)
+
+    def _folders(self, name: str) -> list[str]:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
 
     def remove_unpublished(self) -> None:
         """Delete the rows of commits that the manifest doesn't hold. No writer may be at work."""
@@ -138,7 +166,7 @@ class Warehouse:
             if table.derived or not files.exists(folder):
                 continue
             for status in files.listStatus(folder):
-                if status.getPath().getName().removeprefix(f"{_COMMIT}=") not in commits.get(name, []):
+                if status.getPath().getName().removeprefix(f"{_COMMIT}=") not in [_DECLARED, *commits.get(name, [])]:
                     files.delete(status.getPath(), True)
 
     def stage(self, rows: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
