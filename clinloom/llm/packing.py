@@ -27,6 +27,7 @@ LENGTH = 1024
 QUANTUM = 128
 QUEUES = 1024
 _WEIGHT_UNITS = 1 << 22
+_STRETCH = 1 << 20  # tokens of one part of the shared queue: of the work's size only
 _CACHED_WORDS = 300_000  # of memory only: later words are encoded anew each time
 _ROWS_OUT = 20_000  # of memory only: rows of one Arrow batch
 # Between two other characters a space starts a token and a line break is one.
@@ -117,7 +118,10 @@ def byte_bpe(path: str, ranks_path: str | None = None, end: int = 0) -> Callable
 
 
 def tokenised(documents: DataFrame, make_encoder: Callable[[], Callable[[str], bytes]], queues: dict) -> DataFrame:
-    """Each row's ids, its queue and the tokens its task put into that queue before it."""
+    """Each row's ids, its queue and the tokens its task put into that queue before it.
+
+    Rows of sources without a queue have the number after the last and their source beside it.
+    """
     rest = len(queues)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +131,8 @@ def tokenised(documents: DataFrame, make_encoder: Callable[[], Callable[[str], b
             for at in range(0, batch.num_rows, 512):
                 few = batch.slice(at, 512)
                 ids = [encoder(t.as_py() or "") for t in few.column(1)]
-                mine = [queues.get(s, rest) for s in few.column(2).to_pylist()]
+                sources = few.column(2).to_pylist()
+                mine = [queues.get(s, rest) for s in sources]
                 before = []
                 for q, x in zip(mine, ids):
                     before.append(served.get(q, 0))
@@ -135,14 +140,49 @@ def tokenised(documents: DataFrame, make_encoder: Callable[[], Callable[[str], b
                 yield pa.RecordBatch.from_arrays(
                     [few.column(0), pa.array(mine, pa.int32()), pa.array([part] * len(mine), pa.int32()),
                      pa.array(before, pa.int64()), pa.array([len(x) // 2 for x in ids], pa.int64()),
-                     pa.array(ids, pa.binary())],
-                    ["doc_id", "queue", "part", "before", "n", "ids"],
+                     pa.array(ids, pa.binary()),
+                     pa.array([s if q == rest else None for s, q in zip(sources, mine)], pa.string())],
+                    ["doc_id", "queue", "part", "before", "n", "ids", "source"],
                 )
 
-    schema = "doc_id long, queue int, part int, before long, n long, ids binary"
+    schema = "doc_id long, queue int, part int, before long, n long, ids binary, source string"
     return map_rows(documents, ["doc_id", "text", "source"], schema, encode)
 
 
+def _interleaved(tokens: DataFrame, rest: int, total: int) -> DataFrame:
+    """``tokens`` with the shared queue in an order that serves all its sources in proportion.
+
+    The rule of the queues once more, by documents: each is due where a point inside it
+    lies in its source, as a share of that source. The points of a source begin at a place of
+    its own, so that sources of one document are not all due at once. Times are uniform over
+    tokens: equal stretches of time have about equal tokens, and each becomes a part.
+    """
+    small = tokens.where(F.col("queue") == rest).select("source", "part", "before", "n")
+    to_here = Window.unboundedPreceding, -1
+    own = Window.partitionBy("source", "part").orderBy("before").rowsBetween(*to_here)
+    sums = small.groupBy("source", "part").agg(F.sum("n").alias("sum"))
+    parts = Window.partitionBy("source").orderBy("part")
+    bases = sums.select(
+        F.col("source").alias("of"), F.col("part").alias("in"),
+        F.coalesce(F.sum("sum").over(parts.rowsBetween(*to_here)), F.lit(0)).alias("base"),
+        F.sum("sum").over(Window.partitionBy("source")).alias("all"),
+    )
+    point = F.pmod(F.xxhash64("source"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    due = small.withColumn("ahead", F.coalesce(F.sum("n").over(own), F.lit(0))).join(
+        bases, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))
+    ).select("part", "before", "n", ((F.col("base") + F.col("ahead") + point * F.col("n")) / F.col("all")).alias("due"))
+    stretches = total // _STRETCH + 1
+    at = Window.partitionBy("stretch").orderBy("due", "part", "before").rowsBetween(*to_here)
+    places = due.withColumn("stretch", F.least(F.floor(F.col("due") * stretches), F.lit(stretches - 1)).cast("int")).select(
+        "part", "before", "stretch", F.coalesce(F.sum("n").over(at), F.lit(0)).alias("ahead")
+    )
+    # Every row has a token, so part and what came before name it.
+    moved = tokens.where(F.col("queue") == rest).join(places, ["part", "before"])
+    return tokens.where(F.col("queue") != rest).unionByName(
+        moved.drop("part", "before").withColumnsRenamed({"stretch": "part", "ahead": "before"})
+    )
+
+
 class Schedule:
     """Where each slice of each queue stands in the packed stream."""
 
@@ -230,10 +270,11 @@ def pack(
 ) -> DataFrame:
     """Pieces of documents with their place: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
-    ``ids`` are little-endian uint32. A queue is a source, null one of them; the
-    1,023 sources of most rows have one each, all others share the last, so that the
-    schedule has a fixed size. ``weights`` are target shares of tokens by source
-    (sources not named get nothing until the named are empty, but lose nothing);
+    ``ids`` are little-endian uint32. A queue is a source, null one of them; sources
+    named in ``weights`` and, up to 1,023, those of most rows have one each. All others
+    share the last, so that the schedule has a fixed size; inside it they are served in
+    proportion to their tokens too, a document at a time. ``weights`` are target shares of tokens by
+    source (sources not named get nothing until the named are empty, but lose nothing);
     without weights a queue's weight is its tokens, and all empty together. Sequences
     have ``length`` tokens (a power of two); the remainder goes to sequences of
     smaller powers of two, so nothing is padded. Null text is empty and has the end
@@ -244,19 +285,23 @@ def pack(
         documents.groupBy("source").agg(F.count("*").alias("rows"))
         .orderBy(F.desc("rows"), F.asc_nulls_first("source")).limit(QUEUES - 1).collect()
     )
-    queues = {r["source"]: i for i, r in enumerate(named)}
+    given = list(weights or {})
+    order = given + [r["source"] for r in named if r["source"] not in given]
+    queues = {source: i for i, source in enumerate(order[: max(QUEUES - 1, len(given))])}
     tokens = written(tokenised(documents, make_encoder, queues))
+    total = {r["queue"]: r["n"] for r in tokens.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
+    if len(queues) in total:
+        tokens = _interleaved(tokens, len(queues), total[len(queues)])
     sums = tokens.groupBy("queue", "part").agg(F.sum("n").alias("n"))
     ahead = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = written(sums.select("queue", "part", "n", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base")))
-    total = {r["queue"]: r["n"] for r in bases.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
+    bases = written(sums.select("queue", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base")))
     counts = [total.get(q, 0) for q in range(len(queues) + 1)]
     if weights is None:
         shares = [float(n) for n in counts]
     else:
         shares = [float(weights.get(s, 0.0)) for s in queues] + [0.0]
     schedule = Schedule(counts, shares, quantum, length)
-    placed = tokens.join(bases.select("queue", "part", "base"), ["queue", "part"]).select(
+    placed = tokens.join(bases, ["queue", "part"]).select(
         "doc_id", "queue", (F.col("base") + F.col("before")).alias("begin"), "n", "ids"
     )
     schema = (

@@ -468,6 +468,33 @@ def test_packing(spark, documents, odd_documents, no_documents):
     assert packing.pack(no_documents, _encoder()).collect() == []
 
 
+def test_packing_of_more_sources_than_queues(spark, monkeypatch):
+    """Sources that share a queue are served in proportion, and a named one is never among them."""
+    monkeypatch.setattr(packing, "QUEUES", 3)
+    monkeypatch.setattr(packing, "_STRETCH", 700)
+    random.seed(19)
+    sources = ["a"] * 60 + ["b"] * 50 + ["c"] * 40 + [None] * 30 + ["d"] * 20 + ["rare"] * 3 + [f"one{i}" for i in range(40)]
+    random.shuffle(sources)
+    rows = [(i, "word " * random.randint(1, 60), s) for i, s in enumerate(sources)]
+    rows.append((len(rows), None, "lonely"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    pieces = packing.pack(frame, _encoder()).collect()
+    _check_pieces(pieces, [r[:2] for r in rows])
+    source, share, served = {r[0]: r[2] for r in rows}, Counter(), Counter()
+    for p in pieces:
+        share[source[p.doc_id]] += p.length
+    total = sum(share.values())
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        served[source[p.doc_id]] += p.length
+        done = sum(served.values())
+        for s in ("a", "b", "c", None, "d"):
+            assert abs(served[s] - done * share[s] / total) <= 3 * packing.QUANTUM, s
+    singles = [p.sequence_id for p in pieces if (source[p.doc_id] or "").startswith("one")]
+    assert len(set(singles)) > total // 1024 // 2
+    first = packing.pack(frame, _encoder(), weights={"rare": 1.0}).orderBy("sequence_id", "offset").limit(3).collect()
+    assert [source[p.doc_id] for p in first] == ["rare"] * 3
+
+
 # 10. Token counts
 
 def test_token_counts(spark, documents, odd_documents, no_documents):
