@@ -265,7 +265,7 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Near pairs among rows (root, state, word, n) sorted by root, its words (state below 0) before its searches."""
     stored: list[tuple] = []
     searches: list[tuple] = []
-    trie, held, waiting = None, 0, 0
+    trie, held, waiting, searching = None, 0, 0, False
 
     def joined(parts: list[tuple]) -> list:
         roots, states, counts = (np.concatenate(c) for c in list(zip(*parts))[:3])
@@ -295,15 +295,16 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in zip(cuts, cuts[1:]):
             part = roots[a:b], states[a:b].astype(np.int64), counts[a:b], spelled[a:b]
             if a < b and kind[a]:
-                if held >= SUBTRIE:
+                # A batch may end among a root's words: only words after searches are another root's.
+                if searching and held >= SUBTRIE:
                     yield from found()
                     stored.clear()
                     held = 0
                 stored.append(part)
-                held, trie = held + b - a, None
+                held, trie, searching = held + b - a, None, False
             elif a < b:
                 searches.append(part)
-                waiting += b - a
+                waiting, searching = waiting + b - a, True
                 if waiting >= _PROBES_AT_ONCE:
                     yield from found()
     yield from found()

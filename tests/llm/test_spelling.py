@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from clinloom.llm import queries as _registered  # noqa: F401
@@ -90,3 +91,14 @@ def test_odd_documents(spark, odd_documents, no_documents):
     rows = [(r.doc_id, r.text) for r in odd_documents.collect()]
     assert _rows(spelling.variants(spelling.words(odd_documents))) == _variants(_words(rows))
     assert spelling.variants(spelling.words(no_documents)).collect() == []
+
+
+@pytest.mark.parametrize("size", [1, 3, 4, 100])
+def test_batch_ends_among_the_words_of_a_root(monkeypatch, size):
+    monkeypatch.setattr(spelling, "SUBTRIE", 3)
+    spelled = ["aaaa" + c for c in "bcdfgh"]
+    rows = [(root, state, w, 5) for root in (1, 2) for state in (-1, 0) for w in spelled]
+    columns = ["root", "state", "word", "n"]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(columns, r)) for r in rows[i : i + size]]) for i in range(0, len(rows), size)]
+    found = [tuple(sorted((p["word"], p["other"]))) for b in spelling._searched(iter(batches)) for p in b.to_pylist()]
+    assert sorted(found) == sorted(2 * [(v, w) for v in spelled for w in spelled if v < w])
