@@ -1,11 +1,11 @@
 """Shredding of nested JSON documents into rows.
 
 A document is parsed **once**, into one VARIANT per resource. An extractor's nested
-schema of the fields it needs is then a cast of that VARIANT; levels are outer
-explodes, and every scalar is pulled out at its own level, so a fan-out copies flat
-columns only. Where a node has another kind than the schema says (an object where an
-array is usual, or the reverse) an object still gives one row and an array one
-row per element, read from the same VARIANT.
+schema of the fields it needs is then **one** cast of that VARIANT, to text in structs and
+arrays; levels are outer explodes of these arrays, and every scalar is pulled out at its
+own level, so a fan-out copies flat columns only. Where a node has another kind than the
+schema says (an object where an array is usual, or the reverse) an object still gives one
+row and an array one row per element, read from the same VARIANT to the same type.
 
 Expressions are written as SQL text: a wide resource is some hundred of them,
 and one ``selectExpr`` per level keeps plan building short.
@@ -29,7 +29,7 @@ _MISFIT = "_misfit"
 
 
 def leaf(*names: str) -> list[T.StructField]:
-    """Scalar fields, read as VARIANT (exact, and of a known kind), kept as text until they are cast."""
+    """Scalar fields, read exactly and by their kind, kept as text until they are cast."""
     return [T.StructField(n, _TEXT) for n in names]
 
 
@@ -123,31 +123,48 @@ def tabulate(df: DataFrame, schema: T.StructType, *levels: str, text: str = "res
     keep = [c for c in df.columns if c != text]
     if df.schema[text].dataType == _TEXT:
         df = df.selectExpr(*map(_quoted, keep), f"from_json(`{text}`, 'VARIANT', map({ANY_LENGTH})) AS `{text}`")
-    out, open_now = _unfold(df, keep, text, schema, "")
+    out, open_now = _read(df, keep, text, _needed(schema, levels, ""))
     for level in levels:
         name = level.replace(".", "_")
         element = open_now.pop(name)
         keep = [c for c in out.columns if c != name]
-        out, opened = _unfold(out, keep, name, element, name + "_")
+        out, opened = _columns(out, keep, _quoted(name), element, name + "_")
         open_now.update(opened)
-    return out.drop(*open_now) if open_now else out
+    return out
+
+
+def _needed(schema: T.StructType, levels: tuple[str, ...], path: str) -> T.StructType:
+    """The schema without arrays that are never opened."""
+    fields = []
+    for f in schema:
+        here, kind = path + f.name, f.dataType
+        listed = isinstance(kind, T.ArrayType)
+        if listed and f.metadata.get("level") and here not in levels:
+            continue
+        element = kind.elementType if listed else kind
+        if isinstance(element, T.StructType):
+            element = _needed(element, levels, here + ".")
+        fields.append(T.StructField(f.name, T.ArrayType(element) if listed else element, metadata=f.metadata))
+    return T.StructType(fields)
 
 
-def _unfold(df: DataFrame, keep: list[str], column: str, element: T.StructType, prefix: str):
-    """Open a VARIANT column: its elements as flat columns, and the levels found in them."""
+def _read(df: DataFrame, keep: list[str], column: str, schema: T.StructType):
+    """Read a VARIANT column once, with all its levels: flat columns, and arrays of structs to open.
+
+    A usual resource is one cast. In another, each node is read by its own kind, to the same type.
+    """
     kept, ref = list(map(_quoted, keep)), _quoted(column)
-    each = f"flatten(transform({_elements(ref, 'd')}, e -> {_combined('e', element, 0)}))"
-    if prefix:
-        typed = df.selectExpr(*kept, ref, f"{_get(ref, '', f'ARRAY<{_type(element)}>')} AS _s")
-        repeated = _repeated(element, "s", "")
-        usual = f"NOT exists(_s, s -> {' OR '.join(repeated)})" if repeated else "true"
-        usual = f"_s IS NOT NULL AND {usual}"
-        one = "_s"
-    else:
-        typed = df.selectExpr(*kept, ref, f"{_get(ref, '', _type(element))} AS _s")
-        usual = " AND ".join(["_s IS NOT NULL", *[f"NOT {t}" for t in _repeated(element, "_s", "", ref)]])
-        one = "array(_s)"
-    one = typed.selectExpr(*kept, f"explode_outer(CASE WHEN {usual} THEN {one} ELSE {each} END) AS _s")
+    each = f"flatten(transform({_elements(ref, 'd')}, e -> {_combined('e', schema, 0)}))"
+    typed = df.selectExpr(*kept, ref, f"{_get(ref, '', _type(schema))} AS _s")
+    usual = " AND ".join(["_s IS NOT NULL", *[f"NOT coalesce({t}, false)" for t in _unusual(schema, "_s", "", ref)]])
+    found = typed.selectExpr(*kept, f"CASE WHEN {usual} THEN array(_s) ELSE {each} END AS _r")
+    return _columns(found, keep, "_r", schema, "")
+
+
+def _columns(df: DataFrame, keep: list[str], ref: str, element: T.StructType, prefix: str):
+    """A row per element of an array of structs: its flat columns, and the levels found in them."""
+    kept = list(map(_quoted, keep))
+    one = df.selectExpr(*kept, f"explode_outer({ref}) AS _s")
     columns: list[str] = []
     levels: dict[str, T.StructType] = {}
     for field in element:
@@ -163,12 +180,12 @@ def _flatten(field: T.StructField, ref: str, name: str, columns: list, levels: d
             levels[name] = kind.elementType
             return
         kind = kind.elementType
-        ref = _get(ref, "[0]", _type(kind))
+        ref = f"get({ref}, 0)"
     if isinstance(kind, T.StructType):
         for f in kind:
             _flatten(f, f"{ref}.`{f.name}`", f"{name}_{f.name}", columns, levels)
     else:
-        columns.append(f"{_scalar(ref)} AS `{name}`")
+        columns.append(f"{ref} AS `{name}`")
 
 
 def _scalar(ref: str) -> str:
@@ -200,16 +217,30 @@ def _elements(ref: str, variable: str) -> str:
     )
 
 
-def _repeated(schema: T.StructType, ref: str, path: str, raw: str | None = None) -> list[str]:
-    """Tests for nodes that may be arrays although they are usually objects: such a node is not read.
+def _unusual(schema: T.StructType, ref: str, path: str, raw: str | None = None, depth: int = 0) -> list[str]:
+    """Tests for nodes of which the cast may not tell all: of another kind than usual, or a text that opens like JSON.
 
-    Where the VARIANT itself is at hand (``raw``) it tells arrays from nodes that are absent.
+    Where the VARIANT itself is at hand (``raw``) it tells another kind from nodes that are absent.
     """
     tests = []
-    for f in _nodes(schema):
-        below, node = f"{path}.{f.name}", f"{ref}.`{f.name}`"
-        tests.append(f"({node} IS NULL AND {_get(raw, below, 'ARRAY<VARIANT>')} IS NOT NULL)" if raw else f"({node} IS NULL)")
-        tests += _repeated(f.dataType, node, below, raw)
+    for f in schema:
+        below, node, kind = f"{path}.{f.name}", f"{ref}.`{f.name}`", f.dataType
+        if f.metadata.get("level"):
+            listed = isinstance(kind, T.ArrayType)
+            other = "STRUCT<`_`: VARIANT>" if listed else "ARRAY<VARIANT>"
+            tests.append(f"({node} IS NULL AND {_get(raw, below, other)} IS NOT NULL)" if raw else f"({node} IS NULL)")
+            if listed:
+                inner = _unusual(kind.elementType, f"x{depth}", "", None, depth + 1)
+                if inner:
+                    tests.append(f"exists({node}, x{depth} -> coalesce({' OR '.join(inner)}, false))")
+                continue
+        elif isinstance(kind, T.ArrayType):
+            below, node, kind = below + "[0]", f"get({node}, 0)", kind.elementType
+        if isinstance(kind, T.StructType):
+            tests += _unusual(kind, node, below, raw, depth)
+        else:
+            like = f"left({node}, 1) IN ('{{', '[')"
+            tests.append(f"({like} AND schema_of_variant({_get(raw, below)}) <> 'STRING')" if raw else f"({like})")
     return tests
 
 
@@ -217,7 +248,7 @@ def _combined(ref: str, schema: T.StructType, depth: int) -> str:
     """All combinations of the elements of an object's nodes, as an array of structs."""
     several = _nodes(schema)
     values = ", ".join(
-        f"'{f.name}', " + (f"o{depth}_{f.name}" if f in several else _get(ref, f".{f.name}", _kind(f))) for f in schema
+        f"'{f.name}', " + (f"o{depth}_{f.name}" if f in several else _value(ref, "." + f.name, f, depth)) for f in schema
     )
     out = f"array(named_struct({values}))"
     for f in reversed(several):
@@ -231,6 +262,20 @@ def _combined(ref: str, schema: T.StructType, depth: int) -> str:
     return out
 
 
+def _value(ref: str, path: str, field: T.StructField, depth: int) -> str:
+    """What one field of an object says, each node read by its own kind."""
+    kind = field.dataType
+    if isinstance(kind, T.ArrayType):
+        element = kind.elementType
+        if field.metadata.get("level"):
+            e = f"e{depth}"
+            return f"flatten(transform({_elements(_get(ref, path), f'd{depth}')}, {e} -> {_combined(e, element, depth + 1)}))"
+        return f"array({_value(ref, path + '[0]', T.StructField('first', element), depth)})"
+    if isinstance(kind, T.StructType):
+        return "named_struct(" + ", ".join(f"'{f.name}', {_value(ref, f'{path}.{f.name}', f, depth)}" for f in kind) + ")"
+    return _scalar(_get(ref, path))
+
+
 def _nodes(schema: T.StructType) -> list[T.StructField]:
     return [f for f in schema if f.metadata.get("level") and isinstance(f.dataType, T.StructType)]
 
@@ -240,11 +285,9 @@ def _quoted(name: str) -> str:
 
 
 def _type(kind: T.DataType) -> str:
-    """What an element is cast to: its objects; arrays and scalars stay VARIANT."""
+    """What a node is cast to: text in structs and arrays."""
     if isinstance(kind, T.StructType):
-        return "STRUCT<" + ", ".join(f"`{f.name}`: {_kind(f)}" for f in kind) + ">"
-    return "VARIANT"
-
-
-def _kind(field: T.StructField) -> str:
-    return "VARIANT" if isinstance(field.dataType, T.ArrayType) else _type(field.dataType)
+        return "STRUCT<" + ", ".join(f"`{f.name}`: {_type(f.dataType)}" for f in kind) + ">"
+    if isinstance(kind, T.ArrayType):
+        return f"ARRAY<{_type(kind.elementType)}>"
+    return "STRING"

@@ -227,3 +227,25 @@ def test_repeated_keys_and_exact_numbers_in_unusual_nodes(spark):
     df = spark.createDataFrame([(text,)], "resource string")
     out = tabulate(df, shape(rows("a", leaf("v")), node("o", leaf("w"))), "a")
     assert rows_of(out, "a_v", "o_w") == [("12345678901234567890.123456789", "0.1"), ("12345678901234567890.123456789", "x")]
+
+
+def test_a_resource_is_read_once_whatever_levels_open(spark):
+    schema = shape(leaf("a"), rows("item", leaf("s"), node("prod", rows("coding", leaf("code")))), rows("other", leaf("x")))
+    df = spark.createDataFrame([("{}",)], "resource string")
+    out = tabulate(df, schema, "item", "item.prod.coding", "other")
+    plan = out._jdf.queryExecution().analyzed().toString().splitlines()
+    opened = [line for line in plan if "Generate" in line]
+    assert len(opened) == 4 and not [line for line in opened if "variant" in line]
+
+
+def test_kinds_are_told_apart_below_opened_levels(spark):
+    text = (
+        '{"a":"{x","item":[{"s":"[1]","prod":{"coding":[{"code":"{"}]}},{"s":{"z":1},"prod":[{"coding":{"code":1.0}},{"coding":[]}]},'
+        '{"s":[1]},5],"other":{"x":2}}'
+    )
+    df = spark.createDataFrame([(text,)], "resource string")
+    schema = shape(leaf("a"), rows("item", leaf("s"), node("prod", rows("coding", leaf("code")))), rows("other", leaf("x")))
+    out = tabulate(df, schema, "item", "item.prod.coding", "other")
+    assert rows_of(out, "a", "item_s", "item_prod_coding_code", "other_x") == sorted(
+        [("{x", "[1]", "{", "2"), ("{x", None, "1", "2"), ("{x", None, None, "2"), ("{x", None, None, "2"), ("{x", None, None, "2")], key=repr
+    )
