@@ -90,38 +90,32 @@ def conversations(turns: DataFrame) -> DataFrame:
     )
 
 
-def expanded(formatted: DataFrame, *kept: str) -> DataFrame:
-    """A row per example of ``conversations``, with the columns ``kept`` but no text of its own.
+def expanded(formatted: DataFrame) -> DataFrame:
+    """A row per example of ``conversations``, each with its own text: all turns before its reply, and this.
 
-    conv_id, number (from 0), reply (the text's block of the turn it ends with), first
-    (where that begins), n_chars (how long the example is), target, loss_start, loss_length.
+    conv_id, number (from 0), text, loss_start, loss_length, longest (whether it holds every turn).
     """
-    # Between two control strings there is no other control character.
-    turns = F.zip_with(
-        F.split("text", END, -1), "marks", lambda b, m: F.when(m["example"], F.struct(b.alias("reply"), m.alias("mark")))
-    )
-    return formatted.select(
-        "conv_id", *kept, F.posexplode(F.filter(turns, lambda t: t.isNotNull())).alias("number", "turn")
-    ).select(
-        "conv_id", *kept, "number", "turn.reply", "turn.mark.first", F.col("turn.mark.last").alias("n_chars"),
-        "turn.mark.target", "turn.mark.loss_start", "turn.mark.loss_length",
+    # Filtered inside the explode, which then gives a row at a time; ahead of it, all examples of
+    # a conversation are held at once.
+    ends = F.filter("marks", lambda m: m["example"])
+    return formatted.select("conv_id", "text", F.size(ends).alias("n"), F.posexplode(ends).alias("number", "mark")).select(
+        "conv_id", "number",
+        F.col("text").substr(F.lit(1), F.col("mark.last").cast("int")).alias("text"),
+        "mark.loss_start", "mark.loss_length",
+        (F.col("number") == F.col("n") - 1).alias("longest"),
     )
 
 
 def examples(turns: DataFrame) -> DataFrame:
     """A row per example: conv_id, number (from 0), text, loss_start, loss_length."""
-    return expanded(conversations(turns), "text").select(
-        "conv_id", "number",
-        F.col("text").substr(F.lit(1), F.col("n_chars").cast("int")).alias("text"),
-        "loss_start", "loss_length",
-    )
+    return expanded(conversations(turns)).drop("longest")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Digests of what the examples of each conversation say, taken from their text and masks.
+    """Digests of what the examples of each conversation say, taken from their texts and masks.
 
-    The turns are read from the longest example, the rest from a row per example: a reply
-    is what its own mask leaves of it, the length is the sum of theirs.
+    Every example is read: what its mask leaves of its text, and how long that is. The turns
+    are those of the longest.
     """
     blocks = F.filter(F.split("text", END, -1), lambda b: b != "")
     said = F.transform(
@@ -133,19 +127,19 @@ def read_back(formatted: DataFrame) -> DataFrame:
             F.lit("\n"),
         ),
     )
-    whole = formatted.select(
-        "conv_id", "text", "marks",
-        F.size(blocks).cast("long").alias("n_turns"),
-        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
-    )
-    # Each mask is read within its own turn and unescaped alone: replies never run into each other.
-    begin = (F.col("loss_start") - F.col("first") + 1).cast("int")
-    replies = expanded(whole, "n_turns", "turns_sha256").select(
-        "conv_id", "n_turns", "turns_sha256", "number", "n_chars",
-        F.when(F.col("target"), unescaped(F.col("reply").substr(begin, F.col("loss_length")))).otherwise("").alias("learned"),
+    # Each mask is unescaped alone: replies never run into each other.
+    begin = (F.col("loss_start") + 1).cast("int")
+    read = expanded(formatted).select(
+        "conv_id", "number",
+        F.char_length("text").cast("long").alias("n_chars"),
+        unescaped(F.col("text").substr(begin, F.col("loss_length"))).alias("learned"),
+        F.when(F.col("longest"), F.size(blocks).cast("long")).alias("n_turns"),
+        F.when(F.col("longest"), F.sha2(F.array_join(said, ""), 256)).alias("turns_sha256"),
     )
     # The rows of a conversation never left their partition.
-    together = replies.groupBy("conv_id", "n_turns", "turns_sha256").agg(
+    together = read.groupBy("conv_id").agg(
+        F.max("n_turns").alias("n_turns"),
+        F.max("turns_sha256").alias("turns_sha256"),
         F.array_sort(F.collect_list(F.struct("number", "learned"))).alias("learned"),
         F.sum("n_chars").alias("formatted_chars"),
     ).withColumn("learned", F.array_join("learned.learned", ""))

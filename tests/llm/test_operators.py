@@ -95,6 +95,17 @@ def test_chat_with_a_long_conversation(spark):
         assert m.text[m.loss_start :].startswith("\\l\\\\") and m.text[m.loss_start - 1] == chat.CLOSE
 
 
+def test_chat_examples_hold_their_own_context(spark):
+    rows = [(1, i, ("user", "assistant")[i % 2], f"t{i}<>") for i in range(4)] + [(1, 4, "user", "end"), (2, 0, "assistant", "a")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = [tuple(r) for r in chat.expanded(chat.conversations(turns)).orderBy("conv_id", "number").collect()]
+    blocks = [f"<turn {r}>{t.replace('<', chr(92) + 'l').replace('>', chr(92) + 'g')}</turn>" for c, _, r, t in rows]
+    first = ["".join(blocks[:n]) for n in (2, 4, 5)]
+    assert [m[:3] for m in made] == [(1, 0, first[0]), (1, 1, first[1]), (1, 2, first[2]), (2, 0, blocks[5])]
+    assert [m[2][m[3] : m[3] + m[4]] for m in made] == ["t1\\l\\g", "t3\\l\\g", "", "a"]
+    assert [m[5] for m in made] == [False, False, True, True]
+
+
 # 3. Repeated passages
 
 def test_repeats_against_brute_force(spark, odd_documents, no_documents):
