@@ -156,7 +156,8 @@ def links(prints: DataFrame) -> DataFrame:
         & (F.col("part") != F.col("other_part"))
         & (F.bit_count(F.col("bits").bitwiseXOR(F.col("other"))) <= DISTANCE)
     )
-    second = table.join(probes, "half").where(near).select(F.col("part").alias("a"), F.col("other_part").alias("b"))
+    # Spark sizes both sides as if nothing were exploded, up to 64 times too low; neither may be broadcast by that.
+    second = table.hint("merge").join(probes.hint("merge"), "half").where(near).select(F.col("part").alias("a"), F.col("other_part").alias("b"))
     return written(first.union(second.distinct()))
 
 
@@ -176,5 +177,6 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .select("bits", "least", F.coalesce("root", "bits").alias("root"))
     )
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = rooted.join(ids, "root").select("bits", "component_id")
-    return prints.join(found, "bits").select("doc_id", "bits", "component_id")
+    # Files of fingerprints are several times smaller than their rows in memory, so they aren't broadcast by file size.
+    found = rooted.join(ids.hint("merge"), "root").select("bits", "component_id")
+    return prints.join(found.hint("merge"), "bits").select("doc_id", "bits", "component_id")

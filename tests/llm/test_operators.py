@@ -14,7 +14,7 @@ import pytest
 from compare import differences, duck
 
 from clinloom.llm import (
-    bwt_merge, chat, components, decontaminate, fm_index, language, lm_score, packing, pii, pipeline, repeats, simhash,
+    bwt_merge, chat, common, components, decontaminate, fm_index, language, lm_score, packing, pii, pipeline, repeats, simhash,
     token_count, topk,
 )
 from clinloom.llm import queries as _registered  # noqa: F401
@@ -317,6 +317,21 @@ def test_links_of_close_fingerprints(spark):
     assert len(set(zip(labels, plain))) == len(set(labels)) == len(set(plain))
 
 
+def test_exploded_halves_are_never_broadcast(spark, documents, monkeypatch):
+    plans = []
+
+    def written(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.written(df)
+
+    monkeypatch.setattr(simhash, "written", written)
+    found = simhash.near_duplicates(spark.read.parquet(f"{FOLDER}/documents.parquet"))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    probed = [p for p in plans if "Join" in p and "Generate" in p]
+    assert len(probed) == 1 and "SortMergeJoin" in probed[0] and "BroadcastHashJoin" not in probed[0]
+    assert "SortMergeJoin" in plans[-1] and "BroadcastHashJoin" not in plans[-1]
+
+
 def test_stage_keeps_one_of_each_group(spark, odd_documents, no_documents):
     random.seed(8)
     words = [f"w{i}" for i in range(3000)]
