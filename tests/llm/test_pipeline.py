@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from clinloom.llm import pipeline
+from clinloom.llm import common, pipeline, simhash
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -52,6 +52,19 @@ def test_run_on_odd_and_empty_tables(spark, odd_documents, no_documents, tmp_pat
     assert corpus_pipeline.run(spark, folder).collect() == []
 
 
+def test_stage_broadcasts_no_exploded_table(spark, monkeypatch):
+    plans = []
+
+    def written(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.written(df)
+
+    monkeypatch.setattr(simhash, "written", written)
+    pipeline.near_duplicates(spark, spark.read.parquet(f"{FOLDER}/documents.parquet"), FOLDER)
+    exploded = [p for p in plans if "Generate" in p and "Join" in p]
+    assert exploded and not any("BroadcastHashJoin" in p for p in exploded)
+
+
 @pytest.mark.parametrize("name", [n for n, _ in pipeline.STAGES[:-1]])
 def test_stage_keeps_the_columns(spark, odd_documents, no_documents, name):
     stage = dict(pipeline.STAGES)[name]
