@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -232,6 +233,71 @@ def test_scores_tell_rare_characters_apart(spark):
     assert other.n_tokens == 200 and other.target_loss > 0
 
 
+def test_scores_of_chunks_and_buckets(spark, monkeypatch):
+    frame = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    sizes = []
+
+    def written(df):
+        out = common.written(df)
+        sizes.append(sum(os.path.getsize(f.removeprefix("file://")) for f in out.inputFiles()))
+        return out
+
+    def scores(documents):
+        found = lm_score.scored(documents, documents.where("doc_id % 3 = 0"), documents, ["doc_id"], lm_score.words, 3)
+        return {r.doc_id: r for r in found.collect()}
+
+    monkeypatch.setattr(lm_score, "written", written)
+    whole = scores(frame.coalesce(1))
+    # The work tables are smaller than the input; one row per n-gram had many times its size.
+    assert sum(sizes) < 2 * os.path.getsize(f"{FOLDER}/documents.parquet")
+    monkeypatch.setattr(lm_score, "_ASKED_AT_ONCE", 1 << 10)
+    cut = scores(frame.repartition(5))
+    assert len(whole) == frame.count() and whole.keys() == cut.keys()
+    for d, r in whole.items():
+        assert r.n_tokens == cut[d].n_tokens
+        if r.n_tokens:
+            assert (r.target_loss, r.background_loss) == pytest.approx((cut[d].target_loss, cut[d].background_loss), rel=1e-12)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_of_words_by_counting(spark, order):
+    import math
+
+    texts = ["a b a c.", "a b a b", "c c c", "b a", "", "a"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm_score.scored(frame, frame.where("doc_id < 2"), frame, ["doc_id"], lm_score.words, order).collect()}
+    even = 1 / lm_score.SYMBOLS
+
+    def loss(learned, text):
+        counts, contexts = Counter(), Counter()
+        for t in learned:
+            s = [None] * order + lm_score.words(t)
+            for i in range(order, len(s)):
+                for k in range(order):
+                    counts[tuple(s[i - k : i + 1])] += 1
+                    contexts[tuple(s[i - k : i])] += 1
+        s, total = [None] * order + lm_score.words(text), 0.0
+        for i in range(order, len(s)):
+            p = even
+            for k in range(order):
+                p = (counts[tuple(s[i - k : i + 1])] + lm_score.PRIOR * p) / (contexts[tuple(s[i - k : i])] + lm_score.PRIOR)
+            total -= math.log(p)
+        return total / (len(s) - order)
+
+    for i, t in enumerate(texts):
+        if t:
+            assert got[i].target_loss == pytest.approx(loss(texts[:2], t), rel=1e-12)
+            assert got[i].background_loss == pytest.approx(loss(texts, t), rel=1e-12)
+
+
+def test_hashes_alike_in_their_high_bits_stay_apart():
+    random.seed(3)
+    values = np.array([h << 20 | random.getrandbits(20) for h in random.choices(range(5), k=300)] * 2, np.uint64)
+    keys, first, order = lm_score._runs(values)
+    assert keys.tolist() == sorted(set(values.tolist()))
+    assert (keys[lm_score._which(first, order)] == values).all()
+
+
 # 6. Language identification
 
 def test_languages_of_held_out_texts(spark, documents):
